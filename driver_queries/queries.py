@@ -23,7 +23,7 @@ from trip_marts.functions.times import (
 )
 from trip_marts.operators import quality
 from trip_marts.operators.dedup import first_per_key
-from trip_marts.operators.incremental import newer_rows, watermarks
+from trip_marts.operators.incremental import newer_rows, table_watermarks, watermarks
 from trip_marts.operators.unions import union_services, with_service
 from trip_marts.operators.upsert import matched_rows, upsert_rows, upsert_table
 from trip_marts.plans import marts, serving
@@ -546,7 +546,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = with_pickup_month(fact(spark, sf_dir))
     before = F.col("pickup_datetime") < F.lit(LOADED_BEFORE).cast("timestamp_ntz")
     refresh_table(trips.where(before), name, FACT_PARTITIONS)
-    append_rows(newer_rows(trips, watermarks(spark.table(name))), name)
+    append_rows(newer_rows(trips, table_watermarks(spark, name)), name)
     return shown(spark.table(name).drop("pickup_month"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trip_marts.functions.casts import money
 from trip_marts.plans.dimension import dim_zone
@@ -19,8 +20,15 @@ from trip_marts.schemas import GREEN, YELLOW, Service
 LINE_STATUS = {YELLOW.taxi_type: "O", GREEN.taxi_type: "F"}
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files only the first time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def share_of_fare(rate: str) -> Column:

@@ -4,49 +4,62 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_marts.functions.times import month_text
 from trip_marts.operators.unions import SERVICE_TYPE
 from trip_marts.schemas import PICKUP_MONTH, TIMESTAMP
 
 PICKUP = "pickup_datetime"
+# How the catalog writes a null partition value.
+HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def watermarks(target: DataFrame) -> dict[str, datetime]:
-    """Latest loaded pickup time of each service; none for an empty table.
+    """Latest pickup time of each service; none for an empty table.
 
-    A table partitioned by month is read only in each service's last month.
-    The result has one entry per service.
+    The result has one entry per service, so it is safe to collect.
     """
-    if PICKUP_MONTH in target.columns:
-        last = target.groupBy(SERVICE_TYPE).agg(F.max(PICKUP_MONTH).alias(PICKUP_MONTH)).collect()
-        if not last:
-            return {}
-        newest = F.lit(False)
-        for service, month in last:
-            newest = newest | (
-                (F.col(SERVICE_TYPE) == service) & (F.col(PICKUP_MONTH) == F.lit(month))
-            )
-        target = target.where(newest)
     marks = target.groupBy(SERVICE_TYPE).agg(F.max(PICKUP)).collect()
     return {service: mark for service, mark in marks if mark is not None}
 
 
+def table_watermarks(spark: SparkSession, table: str) -> dict[str, datetime]:
+    """Watermarks of a table partitioned by service and pickup month.
+
+    Only each service's last month is read; which one that is comes from the
+    catalog's list of partitions, without touching a file.
+    """
+    parts = F.str_to_map("partition", F.lit("/"), F.lit("="))
+    service, month = parts[SERVICE_TYPE], parts[PICKUP_MONTH]
+    last = (
+        spark.sql(f"SHOW PARTITIONS {table}")
+        .where(month != HIVE_NULL_PARTITION)
+        .groupBy(service.alias(SERVICE_TYPE))
+        .agg(F.max(month).alias(PICKUP_MONTH))
+        .collect()
+    )
+    newest = F.lit(False)
+    for service_type, newest_month in last:
+        newest = newest | (
+            (F.col(SERVICE_TYPE) == service_type) & (F.col(PICKUP_MONTH) == newest_month)
+        )
+    return watermarks(spark.table(table).where(newest))
+
+
 def global_watermark(marks: dict[str, datetime]) -> datetime | None:
     """One mark over all services, as the first version of the load used."""
     return max(marks.values(), default=None)
 
 
-def above(column: Column, mark: datetime | None) -> Column:
-    """Whether a pickup time is later than the mark; everything without one."""
-    return F.lit(True) if mark is None else column > timestamp_literal(mark)
+def above(column: Column, mark: datetime) -> Column:
+    """Whether a pickup time is later than the mark."""
+    return column > timestamp_literal(mark)
 
 
-def month_not_below(month: Column, mark: datetime | None) -> Column:
+def month_not_below(month: Column, mark: datetime) -> Column:
     """Partition filter that goes with ``above``."""
-    return F.lit(True) if mark is None else month >= month_text(timestamp_literal(mark))
+    return month >= f"{mark:%Y-%m}"
 
 
 def newer_rows(df: DataFrame, marks: dict[str, datetime]) -> DataFrame:

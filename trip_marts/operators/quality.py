@@ -58,7 +58,7 @@ def nulls(df: DataFrame, column: str) -> DataFrame:
 
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Rows whose value is absent from the parent; null values pass."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    keys = parent.select(F.col(parent_column).alias(column))
     return df.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
@@ -78,8 +78,8 @@ def all_present(columns: Sequence[str]) -> Column:
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: name, model, severity, failures.
 
-    All checks of a model that look at single rows share one pass over it;
-    uniqueness needs its own grouping.
+    All checks of a model that look at single rows share one grouping of it;
+    uniqueness needs its own.
     """
     parts = []
     for model in dict.fromkeys(check.model for check in checks):
@@ -97,26 +97,44 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
 def _single_row_checks(
     models: Mapping[str, DataFrame], model: str, checks: Sequence[Check]
 ) -> DataFrame:
-    rows = models[model]
+    """Counts of all the checks, from one grouping of the model.
+
+    The rows are first reduced to the distinct combinations of what the checks
+    look at, each with its row count, so a value shared by many rows never
+    reaches a join more than once per combination.
+    """
+    looked_at = {}
+    for check in checks:
+        (column,) = check.columns
+        missing = check.kind == NOT_NULL
+        name = f"_missing_{column}" if missing else column
+        looked_at[name] = (F.col(column).isNull() if missing else F.col(column)).alias(name)
+    rows = models[model].groupBy(*looked_at.values()).agg(F.count(F.lit(1)).alias(N_RECORDS))
+
     counts = []
     for position, check in enumerate(checks):
         (column,) = check.columns
-        value = F.col(column)
         if check.kind == NOT_NULL:
-            failures = F.count_if(value.isNull())
+            failures = rows_where(F.col(f"_missing_{column}"))
         elif check.kind == ACCEPTED_VALUES:
+            value = F.col(column)
             failures = F.count_distinct(F.when(~value.isin(list(check.values)), value))
         elif check.kind == RELATIONSHIPS:
             match = f"_match_{position}"
             keys = models[check.parent].select(F.col(check.parent_column).alias(match)).distinct()
-            rows = rows.join(keys, value == F.col(match), "left_outer")
-            failures = F.count_if(value.isNotNull() & F.col(match).isNull())
+            rows = rows.join(keys, F.col(column) == F.col(match), "left_outer")
+            failures = rows_where(F.col(column).isNotNull() & F.col(match).isNull())
         else:
             raise ValueError(f"unknown kind of check {check.kind!r}")
         counts.append(failures.alias(check.name))
     return _report(rows.agg(*counts), checks)
 
 
+def rows_where(condition: Column) -> Column:
+    """Rows behind the combinations that meet a condition."""
+    return F.coalesce(F.sum(F.when(condition, F.col(N_RECORDS))), F.lit(0))
+
+
 def _report(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Turn one row of named counts into one row per check."""
     rows = [

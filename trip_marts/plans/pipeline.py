@@ -12,7 +12,7 @@ from trip_marts.operators.incremental import (
     above,
     global_watermark,
     month_not_below,
-    watermarks,
+    table_watermarks,
 )
 from trip_marts.operators.quality import (
     Check,
@@ -31,7 +31,7 @@ from trip_marts.plans.staging import stage_trips
 from trip_marts.schemas import CREDIT_CARD, GREEN, PICKUP_MONTH, YELLOW, Service
 from trip_marts.sources.files import MonthBatch, as_batch, land_month
 from trip_marts.sources.snapshots import publish_snapshot
-from trip_marts.sources.tables import append_rows, create_like, refresh_table, table_exists
+from trip_marts.sources.tables import append_rows, refresh_table, table_exists
 
 FACT_PARTITIONS = (SERVICE_TYPE, PICKUP_MONTH)
 MARTS = {
@@ -46,6 +46,11 @@ MARTS = {
 class BuildOptions:
     """How a build runs; the defaults give full and correct results.
 
+    ``reload_months`` stages the named raw months (``yyyy-MM``) again and
+    upserts their trips, for rows that arrived below the high-water mark.
+    ``check_months`` limits the staging checks to some raw months; trips are
+    de-duplicated within a month, so months can be checked one by one.
+
     ``by_position``, ``global_mark`` and ``credit_label`` reproduce results of
     a load that matched columns by place, kept one mark for both services, or
     compared with another spelling of the card label.
@@ -53,11 +58,12 @@ class BuildOptions:
 
     full_refresh: bool = False
     sample_rows: int | None = None
+    reload_months: tuple[str, ...] = ()
+    check_staging: bool = True
+    check_months: tuple[str, ...] = ()
     by_position: bool = False
     global_mark: bool = False
-    upsert_late_trips: bool = False
     credit_label: str = CREDIT_CARD
-    check_staging: bool = True
 
 
 @dataclass(frozen=True)
@@ -99,37 +105,54 @@ def backfill(
         ingest_month(spark, lake, source_root, landing_root, batch)
 
 
-def new_trips(spark: SparkSession, lake: Lake, options: BuildOptions, fresh: bool) -> DataFrame:
-    """Fact rows to load: all of them, or those above the high-water marks.
-
-    The marks filter the raw tables, ahead of the de-duplication, and their
-    month prunes partitions; the pickup time is part of the de-duplication key,
-    so the order of the two steps does not matter.
-    """
-    incremental = not fresh and not options.upsert_late_trips
-    marks = watermarks(spark.table(lake.table("fact_trips"))) if incremental else {}
-    staged = []
-    for service in lake.services:
-        mark = global_watermark(marks) if options.global_mark else marks.get(service.label)
-        raw = spark.table(lake.raw(service.taxi_type)).where(
-            month_not_below(F.col(PICKUP_MONTH), mark) & above(F.col(service.pickup), mark)
-        )
-        staged.append(stage_trips(raw, service, options.sample_rows))
+def trips_of(
+    spark: SparkSession, lake: Lake, raw: list[DataFrame], options: BuildOptions
+) -> DataFrame:
+    """Fact rows of the given raw rows, one DataFrame per service."""
+    staged = [
+        stage_trips(rows, service, options.sample_rows)
+        for rows, service in zip(raw, lake.services, strict=True)
+    ]
     dim = spark.table(lake.table("dim_zone"))
     return with_pickup_month(fact_trips(*staged, dim, by_position=options.by_position))
 
 
+def all_raw(spark: SparkSession, lake: Lake, months: tuple[str, ...] = ()) -> list[DataFrame]:
+    """The raw tables, whole or limited to some months."""
+    tables = [spark.table(lake.raw(service.taxi_type)) for service in lake.services]
+    return [t.where(F.col(PICKUP_MONTH).isin(*months)) for t in tables] if months else tables
+
+
+def new_raw(spark: SparkSession, lake: Lake, global_mark: bool = False) -> list[DataFrame]:
+    """Raw rows above the high-water marks of the fact.
+
+    The marks apply ahead of the de-duplication, and their month prunes
+    partitions; the pickup time is part of the de-duplication key, so the order
+    of the two steps does not matter.
+    """
+    marks = table_watermarks(spark, lake.table("fact_trips"))
+    newest = global_watermark(marks)
+    rows = []
+    for service, raw in zip(lake.services, all_raw(spark, lake), strict=True):
+        mark = newest if global_mark else marks.get(service.label)
+        if mark is not None:
+            month, pickup = F.col(PICKUP_MONTH), F.col(service.pickup)
+            raw = raw.where(month_not_below(month, mark) & above(pickup, mark))
+        rows.append(raw)
+    return rows
+
+
 def load_fact(spark: SparkSession, lake: Lake, options: BuildOptions) -> None:
     """Bring the fact table up to date."""
     table = lake.table("fact_trips")
-    fresh = options.full_refresh or not table_exists(spark, table)
-    rows = new_trips(spark, lake, options, fresh)
-    if fresh:
+    if options.full_refresh or not table_exists(spark, table):
+        rows = trips_of(spark, lake, all_raw(spark, lake), options)
         refresh_table(rows, table, FACT_PARTITIONS)
-    elif options.upsert_late_trips:
-        upsert_table(rows, table, keys=(SERVICE_TYPE, "tripid"), partition_by=FACT_PARTITIONS)
+    elif options.reload_months:
+        rows = trips_of(spark, lake, all_raw(spark, lake, options.reload_months), options)
+        upsert_table(rows, table, keys=(SERVICE_TYPE, "tripid"))
     else:
-        create_like(rows, table, FACT_PARTITIONS)
+        rows = trips_of(spark, lake, new_raw(spark, lake, options.global_mark), options)
         append_rows(rows, table)
 
 
@@ -149,13 +172,15 @@ def declared_checks(lake: Lake, staging: bool = True) -> list[Check]:
     return checks
 
 
-def check_report(spark: SparkSession, lake: Lake, staging: bool = True) -> DataFrame:
+def check_report(
+    spark: SparkSession, lake: Lake, staging: bool = True, months: tuple[str, ...] = ()
+) -> DataFrame:
     """Result of every declared check on the current tables."""
     names = ["dim_zone", "fact_trips", "dm_monthly_zone"]
     models = {name: spark.table(lake.table(name)) for name in names}
-    for service in lake.services if staging else ():
-        raw = spark.table(lake.raw(service.taxi_type))
-        models[f"stg_{service.taxi_type}"] = stage_trips(raw, service)
+    if staging:
+        for service, raw in zip(lake.services, all_raw(spark, lake, months), strict=True):
+            models[f"stg_{service.taxi_type}"] = stage_trips(raw, service)
     return run_checks(models, declared_checks(lake, staging))
 
 
@@ -174,7 +199,8 @@ def build(
     refresh_table(dim_zone(zones), lake.table("dim_zone"))
     load_fact(spark, lake, options)
     refresh_marts(spark, lake, options)
-    warnings = enforce(check_report(spark, lake, options.check_staging))
+    report = check_report(spark, lake, options.check_staging, options.check_months)
+    warnings = enforce(report)
     if publish_root is not None:
         tables = [lake.table(name) for name in ("dim_zone", *MARTS)]
         publish_snapshot(spark, tables, publish_root)

@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trip_marts.functions.keys import row_hash_key
 from trip_marts.functions.times import month_text
@@ -108,9 +109,17 @@ def land_rows(df: DataFrame, landing_root: str, taxi_type: str) -> None:
     ).partitionBy(*LANDING_PARTITIONS).parquet(landing_root)
 
 
-def scan_landed(spark: SparkSession, landing_root: str) -> DataFrame:
-    """All landed months; filters on type, year and month prune directories."""
-    return scan_parquet(spark, landing_root)
+def scan_landed(
+    spark: SparkSession, landing_root: str, schema: StructType | None = None
+) -> DataFrame:
+    """All landed months; filters on type, year and month prune directories.
+
+    Without a ``schema`` the columns of all files are merged, for which every
+    file's footer has to be read; give one where there are many files.
+    """
+    if schema is None:
+        return scan_parquet(spark, landing_root)
+    return spark.read.schema(schema).parquet(landing_root)
 
 
 def as_batch(df: DataFrame, taxi_type: str, source_file: str | None = None) -> DataFrame:
