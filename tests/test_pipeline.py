@@ -108,6 +108,23 @@ def test_service_loaded_late_in_the_month_is_not_lost(spark, lake, roots):
     ]
 
 
+def test_marts_of_unchanged_months_are_not_rewritten(spark, lake, roots):
+    ingest_two_months(spark, lake, roots)
+    build(spark, lake, zones(spark))
+    files = {n: set(spark.table(lake.table(n)).inputFiles()) for n in pipeline.MART_MONTHS}
+    build(spark, lake, zones(spark))
+    assert {n: set(spark.table(lake.table(n)).inputFiles()) for n in files} == files
+    march = {"pickup": at("2023-03-01 00:00:00"), "dropoff": at("2023-03-01 00:10:00")}
+    ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 3, march))
+    build(spark, lake, zones(spark))
+    fact = spark.table(lake.table("fact_trips"))
+    for name, mart in MARTS.items():
+        table = spark.table(lake.table(name))
+        assert files.get(name, set()) <= set(table.inputFiles())
+        expected = mart(fact)
+        assert contents(table.select(*expected.columns)) == contents(expected)
+
+
 def test_late_trips_are_upserted_by_month(spark, lake, roots):
     ingest_two_months(spark, lake, roots)
     build(spark, lake, zones(spark))

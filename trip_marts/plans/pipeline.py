@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,12 @@ from trip_marts.plans.staging import stage_trips
 from trip_marts.schemas import CREDIT_CARD, GREEN, PICKUP_MONTH, YELLOW, Service
 from trip_marts.sources.files import MonthBatch, as_batch, land_month
 from trip_marts.sources.snapshots import publish_snapshot
-from trip_marts.sources.tables import append_rows, refresh_table, table_exists
+from trip_marts.sources.tables import (
+    append_rows,
+    refresh_table,
+    replace_partitions,
+    table_exists,
+)
 
 FACT_PARTITIONS = (SERVICE_TYPE, PICKUP_MONTH)
 MARTS = {
@@ -40,6 +46,12 @@ MARTS = {
     "dm_origin_destination": od_routes,
     "dm_tipping": tipping,
 }
+# Marts grouped by month, with the month column their tables are partitioned by.
+MART_MONTHS = {
+    "dm_monthly_zone": "revenue_month",
+    "dm_hourly_operation": "report_month",
+    "dm_origin_destination": "report_month",
+}
 
 
 @dataclass(frozen=True)
@@ -48,8 +60,8 @@ class BuildOptions:
 
     ``reload_months`` stages the named raw months (``yyyy-MM``) again and
     upserts their trips, for rows that arrived below the high-water mark.
-    ``check_months`` limits the staging checks to some raw months; trips are
-    de-duplicated within a month, so months can be checked one by one.
+    ``check_months`` limits the checks of staging and fact to some months; trip
+    ids are unique within a month, so months can be checked one by one.
 
     ``by_position``, ``global_mark`` and ``credit_label`` reproduce results of
     a load that matched columns by place, kept one mark for both services, or
@@ -142,26 +154,50 @@ def new_raw(spark: SparkSession, lake: Lake, global_mark: bool = False) -> list[
     return rows
 
 
-def load_fact(spark: SparkSession, lake: Lake, options: BuildOptions) -> None:
-    """Bring the fact table up to date."""
+def load_fact(spark: SparkSession, lake: Lake, options: BuildOptions) -> list[str] | None:
+    """Bring the fact table up to date; returns the months it changed.
+
+    None stands for all months.
+    """
     table = lake.table("fact_trips")
     if options.full_refresh or not table_exists(spark, table):
         rows = trips_of(spark, lake, all_raw(spark, lake), options)
         refresh_table(rows, table, FACT_PARTITIONS)
-    elif options.reload_months:
+        return None
+    if options.reload_months:
         rows = trips_of(spark, lake, all_raw(spark, lake, options.reload_months), options)
         upsert_table(rows, table, keys=(SERVICE_TYPE, "tripid"))
-    else:
-        rows = trips_of(spark, lake, new_raw(spark, lake, options.global_mark), options)
-        append_rows(rows, table)
+        return list(options.reload_months)
+    raw = new_raw(spark, lake, options.global_mark)
+    months = months_of(raw)
+    if months:
+        append_rows(trips_of(spark, lake, raw, options), table)
+    return months
+
 
+def months_of(raw: list[DataFrame]) -> list[str]:
+    """Pickup months of the rows, one text per calendar month."""
+    months = reduce(DataFrame.union, [rows.select(PICKUP_MONTH) for rows in raw]).distinct()
+    return sorted(row[0] for row in months.collect())
 
-def refresh_marts(spark: SparkSession, lake: Lake, options: BuildOptions) -> None:
-    """Recompute the marts from the stored fact, which is built only once."""
+
+def refresh_marts(
+    spark: SparkSession, lake: Lake, options: BuildOptions, months: list[str] | None = None
+) -> None:
+    """Recompute the marts from the stored fact, which is built only once.
+
+    Given the months that changed, a mart grouped by month reads and replaces
+    only those; its groups and ranks never span two months.
+    """
     fact = spark.table(lake.table("fact_trips"))
     for name, mart in MARTS.items():
-        extra = {"credit_label": options.credit_label} if mart is tipping else {}
-        refresh_table(mart(fact, **extra), lake.table(name))
+        table, month = lake.table(name), MART_MONTHS.get(name)
+        if month is None:
+            refresh_table(mart(fact, credit_label=options.credit_label), table)
+        elif months is None or not table_exists(spark, table):
+            refresh_table(mart(fact), table, (month,))
+        elif months:
+            replace_partitions(mart(fact.where(F.col(PICKUP_MONTH).isin(*months))), table)
 
 
 def declared_checks(lake: Lake, staging: bool = True) -> list[Check]:
@@ -178,6 +214,8 @@ def check_report(
     """Result of every declared check on the current tables."""
     names = ["dim_zone", "fact_trips", "dm_monthly_zone"]
     models = {name: spark.table(lake.table(name)) for name in names}
+    if months:
+        models["fact_trips"] = models["fact_trips"].where(F.col(PICKUP_MONTH).isin(*months))
     if staging:
         for service, raw in zip(lake.services, all_raw(spark, lake, months), strict=True):
             models[f"stg_{service.taxi_type}"] = stage_trips(raw, service)
@@ -197,8 +235,8 @@ def build(
     before anything is published.
     """
     refresh_table(dim_zone(zones), lake.table("dim_zone"))
-    load_fact(spark, lake, options)
-    refresh_marts(spark, lake, options)
+    months = load_fact(spark, lake, options)
+    refresh_marts(spark, lake, options, months)
     report = check_report(spark, lake, options.check_staging, options.check_months)
     warnings = enforce(report)
     if publish_root is not None:
