@@ -11,7 +11,14 @@ from pyspark.sql import types as T
 
 from driver_queries.scratch import scratch_folder, scratch_lake
 from driver_queries.trips import event_trips, fact, raw_trips, raw_zones, staged, table
-from trip_marts.functions.casts import money, or_zero, safe_int, safe_money, safe_timestamp
+from trip_marts.functions.casts import (
+    money,
+    money_from_double,
+    or_zero,
+    safe_int,
+    safe_money,
+    safe_timestamp,
+)
 from trip_marts.functions.keys import surrogate_key
 from trip_marts.functions.labels import payment_label
 from trip_marts.functions.measures import exact_sum, ratio_of_sums
@@ -91,8 +98,8 @@ def scan_parquet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(
         lines.groupBy("l_returnflag").agg(
             F.count(F.lit(1)).alias("total_rows"),
-            exact_sum(money(F.col("l_quantity"))).alias("quantity"),
-            exact_sum(money(F.col("l_extendedprice"))).alias("price"),
+            exact_sum(money_from_double(F.col("l_quantity"))).alias("quantity"),
+            exact_sum(money_from_double(F.col("l_extendedprice"))).alias("price"),
         )
     )
 
@@ -185,7 +192,7 @@ def safe_cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").withColumns(
         {
             "price_text": F.col("p_retailprice").cast("string"),
-            "price_money": money(F.col("p_retailprice")),
+            "price_money": money_from_double(F.col("p_retailprice")),
             "half": F.col("p_size") / F.lit(2.0),
         }
     )
@@ -211,12 +218,12 @@ def safe_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cast_decimal")
 def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount = money(money(F.col("l_extendedprice")) * money(F.col("l_discount")))
+    amount = money(money_from_double(F.col("l_extendedprice")) * money_from_double(F.col("l_discount")))
     return shown(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey",
             "l_linenumber",
-            money(F.col("l_extendedprice")).alias("fare_amount"),
+            money_from_double(F.col("l_extendedprice")).alias("fare_amount"),
             amount.alias("tip_amount"),
         )
     )

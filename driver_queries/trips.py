@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trip_marts.functions.casts import money
+from trip_marts.functions.casts import money, money_from_double
 from trip_marts.plans.dimension import dim_zone
 from trip_marts.plans.fact import fact_trips
 from trip_marts.plans.staging import stage_trips
@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def share_of_fare(rate: str) -> Column:
     """Price times a rate, both made decimals first so that it is exact."""
-    return money(money(F.col("l_extendedprice")) * money(F.col(rate)))
+    return money(money_from_double(F.col("l_extendedprice")) * money_from_double(F.col(rate)))
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, service: Service) -> DataFrame:
@@ -44,7 +44,7 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: Service) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     supplier = table(spark, sf_dir, "supplier")
     customer = table(spark, sf_dir, "customer")
-    fare, tip, tax = money(F.col("l_extendedprice")), share_of_fare("l_discount"), share_of_fare("l_tax")
+    fare, tip, tax = money_from_double(F.col("l_extendedprice")), share_of_fare("l_discount"), share_of_fare("l_tax")
     if service is YELLOW:
         own = [F.lit(1.25).alias("airport_fee")]
     else:
@@ -68,7 +68,7 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: Service) -> DataFrame:
             F.lit(0.75).alias("extra"),
             tax.alias("mta_tax"),
             tip.alias("tip_amount"),
-            money(F.col("l_discount")).alias("tolls_amount"),
+            money_from_double(F.col("l_discount")).alias("tolls_amount"),
             F.lit(0.3).alias("improvement_surcharge"),
             money(fare + tip + tax).alias("total_amount"),
             F.lit(2.5).alias("congestion_surcharge"),
@@ -112,7 +112,7 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     The value gives the minutes under way, so each row stands for itself and no
     user's events have to meet in one task. Error events run backwards.
     """
-    value = money(F.col("value"))
+    value = money_from_double(F.col("value"))
     millis = (value * 60000).cast("bigint")
     backwards = F.col("event_type") == "error"
     distance = money(F.col("user_id").cast("decimal(18,3)") * F.lit("0.125").cast("decimal(4,3)"))

@@ -1,13 +1,23 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from decimal import Decimal
 
+import duckdb
 import pytest
 from conftest import at
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
-from trip_marts.functions.casts import money, or_zero, safe_int, safe_money, safe_timestamp
+from trip_marts.functions.casts import (
+    amount,
+    or_zero,
+    safe_amount,
+    safe_int,
+    safe_money,
+    safe_timestamp,
+)
 from trip_marts.functions.keys import row_hash_key, surrogate_key
 from trip_marts.functions.labels import payment_label
 from trip_marts.functions.measures import (
@@ -67,8 +77,40 @@ def test_safe_timestamp(spark):
 def test_money_and_defaults(spark):
     df = column(spark, ["1.0025", "x", None], "string")
     assert results(df, or_zero(safe_money(F.col("x")))) == [Decimal("1.003"), 0, 0]
-    df = column(spark, [1.0025, 0.0005, None], "double")
-    assert results(df, money(F.col("x"))) == [Decimal("1.003"), Decimal("0.001"), None]
+    df = column(spark, [Decimal("1.0025"), None], "decimal(18,4)")
+    assert results(df, amount(df, "x")) == [Decimal("1.003"), None]
+    with pytest.raises(ValueError):
+        amount(df, "absent")
+
+
+def test_floating_amounts_round_halves_away_from_zero(spark):
+    values = [1.0025, 0.0005, -1.0025, 2.0005, 1e12, 0.0, -0.0, 0.00049, None]
+    expected = ["1.003", "0.001", "-1.003", "2.001", "1000000000000.000", "0", "0", "0"]
+    df = column(spark, values, "double")
+    assert results(df, amount(df, "x")) == [*map(Decimal, expected), None]
+
+
+def test_floating_amounts_agree_with_the_oracle_engine(spark):
+    rng = random.Random(1)
+    values = [rng.uniform(-1e4, 1e4) for _ in range(2000)]
+    values += [round(rng.uniform(-1e6, 1e6), rng.randrange(5)) for _ in range(5000)]
+    values += [rng.randrange(-(10**6), 10**6) / 2000 for _ in range(5000)]
+    listed = ", ".join(f"({v!r}::double)" for v in values)
+    cast = f"SELECT v::decimal(18,3) FROM (VALUES {listed}) t(v)"
+    expected = [r[0] for r in duckdb.connect().execute(cast).fetchall()]
+    df = column(spark, values, "double").coalesce(1)
+    assert results(df, amount(df, "x")) == expected
+
+
+def test_amounts_that_are_no_numbers(spark):
+    df = column(spark, [float("nan"), float("inf"), 1e16, -1e16, 2.0, None], "double")
+    assert results(df, safe_amount(df, "x")) == [None, None, None, None, 2, None]
+    for value in (float("nan"), 1e16):
+        bad = column(spark, [value], "double")
+        with pytest.raises(ArithmeticException):
+            bad.select(amount(bad, "x")).collect()
+    df = column(spark, ["1.5", "x"], "string")
+    assert results(df, safe_amount(df, "x")) == [Decimal("1.500"), None]
 
 
 def test_row_hash_key_takes_nulls_as_empty_text(spark):
@@ -76,14 +118,14 @@ def test_row_hash_key_takes_nulls_as_empty_text(spark):
         [(at("2023-01-01 10:00:00"), None, 7, 1.5), (None, None, None, None)],
         "p timestamp_ntz, d timestamp_ntz, l bigint, x double",
     )
-    key = row_hash_key(F.col("p"), F.col("d"), F.col("l"), F.col("x"))
+    key = row_hash_key(F.col("p"), F.col("d"), F.col("l"), amount(df, "x"))
     assert results(df, key) == [md5("2023-01-01 10:00:0071.500"), md5("")]
 
 
 def test_row_hash_key_text_of_distance_does_not_depend_on_its_size(spark):
     df = column(spark, [1e7, 1e-2], "double")
     none = F.lit(None)
-    assert results(df, row_hash_key(none, none, none, F.col("x"))) == [
+    assert results(df, row_hash_key(none, none, none, amount(df, "x"))) == [
         md5("10000000.000"),
         md5("0.010"),
     ]

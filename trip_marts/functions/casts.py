@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from trip_marts.schemas import MONEY, TIMESTAMP, find_field
 
+# Amounts have at most fifteen digits before the point.
+MONEY_LIMIT = 1e15
+
 
 def safe_int(df: DataFrame, name: str) -> Column:
     """``name`` as an integer, null where it is not one.
@@ -33,14 +36,48 @@ def safe_timestamp(value: Column) -> Column:
     return value.try_cast(TIMESTAMP)
 
 
+def money(value: Column) -> Column:
+    """Decimal, integer or text amount with three decimals; bad input is an error."""
+    return value.cast(MONEY)
+
+
 def safe_money(value: Column) -> Column:
     """Amount with three decimals, null where the value is not a number."""
     return value.try_cast(MONEY)
 
 
-def money(value: Column) -> Column:
-    """Amount with three decimals; bad input is an error."""
-    return value.cast(MONEY)
+def money_from_double(value: Column) -> Column:
+    """Floating amount with three decimals; not a number or too large is an error.
+
+    Halves of the scaled value round away from zero. Going through an integer
+    avoids printing and parsing every value, which is how a plain cast from
+    double to decimal works and most of what it costs.
+    """
+    scaled = F.abs(value * 1000)
+    whole = scaled.cast("bigint")
+    thousandths = whole + F.when(scaled - whole >= 0.5, 1).otherwise(0)
+    signed = F.when(value < 0, -thousandths).otherwise(thousandths)
+    return (signed.cast("decimal(18,0)") * F.lit("0.001").cast("decimal(3,3)")).cast(MONEY)
+
+
+def amount(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as money, by the conversion that fits its type."""
+    field = find_field(df, name)
+    if field is None:
+        raise ValueError(f"no column {name!r} to use as an amount")
+    value = F.col(field.name)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return money_from_double(value.cast("double"))
+    return money(value)
+
+
+def safe_amount(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as money, null where it is not a number or too large."""
+    field = find_field(df, name)
+    if field is not None and isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        fits = F.abs(F.col(field.name)) < MONEY_LIMIT
+        return F.when(fits, amount(df, name))
+    return safe_money(F.col(name))
 
 
 def or_zero(value: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trip_marts.functions.casts import money
 from trip_marts.schemas import SURROGATE_KEY_NULL
 
 
@@ -16,10 +15,10 @@ def text_or_empty(value: Column) -> Column:
 def row_hash_key(pickup: Column, dropoff: Column, location: Column, distance: Column) -> Column:
     """Key of a raw row: md5 of the parts as text, nulls as empty text.
 
-    The distance goes through a decimal so that its text does not depend on how
+    The distance should be a decimal, so that its text does not depend on how
     an engine prints large or small floating numbers.
     """
-    parts = [pickup, dropoff, location, money(distance)]
+    parts = [pickup, dropoff, location, distance]
     return F.md5(F.concat(*[text_or_empty(part) for part in parts]))
 
 

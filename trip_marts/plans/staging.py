@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trip_marts.functions.casts import money, or_zero, safe_int, safe_money, safe_timestamp
+from trip_marts.functions.casts import (
+    amount,
+    money,
+    or_zero,
+    safe_amount,
+    safe_int,
+    safe_timestamp,
+)
 from trip_marts.functions.keys import surrogate_key
 from trip_marts.functions.labels import payment_label
 from trip_marts.operators.dedup import first_per_key
@@ -54,14 +61,16 @@ def stage_trips(raw: DataFrame, service: Service, sample_rows: int | None = None
     if missing:
         raise ValueError(f"raw {service.taxi_type} trips lack columns {missing}")
 
-    def amount(name: str):
-        return money(F.col(name)).alias(name)
-
     trips = first_per_key(
         raw.where(F.col(VENDOR).isNotNull()),
-        [VENDOR, service.pickup],
+        # The time first: most pairs of rows then sort by one comparison.
+        [service.pickup, VENDOR],
         tie_break_order(service),
     )
+
+    def paid(name: str) -> Column:
+        return amount(trips, name).alias(name)
+
     # The label is built from the raw code: null has a label of its own.
     payment_code = safe_int(trips, "payment_type")
     trip_type = safe_int(trips, "trip_type") if service.has_trip_type else F.lit(1)
@@ -74,24 +83,24 @@ def stage_trips(raw: DataFrame, service: Service, sample_rows: int | None = None
         safe_int(trips, "DOLocationID").alias("dropoff_locationid"),
         safe_timestamp(F.col(service.pickup)).alias("pickup_datetime"),
         safe_timestamp(F.col(service.dropoff)).alias("dropoff_datetime"),
-        amount("trip_distance"),
+        paid("trip_distance"),
         trip_type.alias("trip_type"),
         F.col("store_and_fwd_flag"),
         or_zero(payment_code).alias("payment_type"),
         payment_label(payment_code).alias("payment_type_describe"),
-        amount("fare_amount"),
-        amount("extra"),
-        amount("mta_tax"),
-        amount("tip_amount"),
-        amount("tolls_amount"),
+        paid("fare_amount"),
+        paid("extra"),
+        paid("mta_tax"),
+        paid("tip_amount"),
+        paid("tolls_amount"),
     ]
     if "ehail_fee" in service.own_fees:
-        columns.append(money(or_zero(safe_money(F.col("ehail_fee")))).alias("ehail_fee"))
+        columns.append(money(or_zero(safe_amount(trips, "ehail_fee"))).alias("ehail_fee"))
     columns += [
-        amount("improvement_surcharge"),
-        amount("total_amount"),
-        amount("congestion_surcharge"),
+        paid("improvement_surcharge"),
+        paid("total_amount"),
+        paid("congestion_surcharge"),
     ]
     if "airport_fee" in service.own_fees:
-        columns.append(amount("airport_fee"))
+        columns.append(paid("airport_fee"))
     return sample_limit(trips.select(*columns), sample_rows)

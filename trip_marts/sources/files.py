@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from trip_marts.functions.casts import amount
 from trip_marts.functions.keys import row_hash_key
 from trip_marts.functions.times import month_text
 from trip_marts.schemas import (
@@ -134,7 +135,7 @@ def as_batch(df: DataFrame, taxi_type: str, source_file: str | None = None) -> D
         pickup,
         F.col(_required(df, service.dropoff)),
         F.col(_required(df, "PULocationID")),
-        F.col(_required(df, "trip_distance")),
+        amount(df, "trip_distance"),
     )
     return df.select(
         key.alias(ROW_KEY),
