@@ -17,7 +17,8 @@ from trip_marts.session import build_session  # noqa: E402
 def spark(tmp_path_factory) -> SparkSession:
     folder = tmp_path_factory.mktemp("spark")
     settings = {
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.warehouse.dir": str(folder / "warehouse"),

@@ -23,11 +23,13 @@ def safe_int(df: DataFrame, name: str) -> Column:
         raise ValueError(f"no column {name!r} to cast to integer")
     value = F.col(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        value = F.rint(value)
-    elif isinstance(field.dataType, T.DecimalType):
-        value = F.round(value)
-    elif isinstance(field.dataType, T.StringType):
-        value = F.round(value.try_cast("decimal(38,10)"))
+        return F.rint(value).try_cast("int")
+    if isinstance(field.dataType, T.DecimalType):
+        return F.round(value).try_cast("int")
+    if isinstance(field.dataType, T.StringType):
+        # Plain digits are the usual case and need no decimal.
+        fraction = F.round(value.try_cast("decimal(38,10)"))
+        return F.coalesce(value.try_cast("int"), fraction.try_cast("int"))
     return value.try_cast("int")
 
 

@@ -14,7 +14,8 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """Stored tables and views of a database, without the session's own views."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
