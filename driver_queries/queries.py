@@ -15,8 +15,8 @@ from trip_marts.functions.casts import (
     money,
     money_from_double,
     or_zero,
+    safe_amount,
     safe_int,
-    safe_money,
     safe_timestamp,
 )
 from trip_marts.functions.keys import surrogate_key
@@ -242,8 +242,8 @@ def coalesce_default(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderkey",
             or_zero(safe_int(orders, "code")).alias("code"),
             or_zero(safe_int(orders, "word")).alias("no_code"),
-            or_zero(safe_money(F.col("o_totalprice"))).alias("amount"),
-            or_zero(safe_money(F.col("word"))).cast(MONEY).alias("no_amount"),
+            or_zero(safe_amount(orders, "o_totalprice")).alias("amount"),
+            or_zero(safe_amount(orders, "word")).cast(MONEY).alias("no_amount"),
         )
     )
 

@@ -15,7 +15,6 @@ from trip_marts.functions.casts import (
     or_zero,
     safe_amount,
     safe_int,
-    safe_money,
     safe_timestamp,
 )
 from trip_marts.functions.keys import row_hash_key, surrogate_key
@@ -76,7 +75,7 @@ def test_safe_timestamp(spark):
 
 def test_money_and_defaults(spark):
     df = column(spark, ["1.0025", "x", None], "string")
-    assert results(df, or_zero(safe_money(F.col("x")))) == [Decimal("1.003"), 0, 0]
+    assert results(df, or_zero(safe_amount(df, "x"))) == [Decimal("1.003"), 0, 0]
     df = column(spark, [Decimal("1.0025"), None], "decimal(18,4)")
     assert results(df, amount(df, "x")) == [Decimal("1.003"), None]
     with pytest.raises(ValueError):
@@ -109,8 +108,10 @@ def test_amounts_that_are_no_numbers(spark):
         bad = column(spark, [value], "double")
         with pytest.raises(ArithmeticException):
             bad.select(amount(bad, "x")).collect()
-    df = column(spark, ["1.5", "x"], "string")
-    assert results(df, safe_amount(df, "x")) == [Decimal("1.500"), None]
+    texts = ["1.5", " -1.5e1 ", ".5", "3.", "x", "", "1.2.3", None]
+    df = column(spark, texts, "string")
+    numbers = [Decimal(n) for n in ("1.500", "-15.000", "0.500", "3.000")]
+    assert results(df, safe_amount(df, "x")) == [*numbers, None, None, None, None]
 
 
 def test_row_hash_key_takes_nulls_as_empty_text(spark):
