@@ -125,6 +125,26 @@ def test_marts_of_unchanged_months_are_not_rewritten(spark, lake, roots):
         assert contents(table.select(*expected.columns)) == contents(expected)
 
 
+def test_marts_catch_up_after_a_run_that_stopped(spark, lake, roots, monkeypatch):
+    ingest_two_months(spark, lake, roots)
+    build(spark, lake, zones(spark))
+    march = {"pickup": at("2023-03-01 00:00:00")}
+    ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 3, march))
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "refresh_marts", stopped)
+        with pytest.raises(RuntimeError):
+            build(spark, lake, zones(spark))
+    assert pipeline.pending_months(spark, lake) == ["2023-03"]
+    build(spark, lake, zones(spark))
+    assert pipeline.pending_months(spark, lake) == []
+    monthly = spark.table(lake.table("dm_monthly_zone"))
+    assert monthly.where("revenue_month = timestamp_ntz'2023-03-01'").count() == 1
+
+
 def test_late_trips_are_upserted_by_month(spark, lake, roots):
     ingest_two_months(spark, lake, roots)
     build(spark, lake, zones(spark))
@@ -138,6 +158,28 @@ def test_late_trips_are_upserted_by_month(spark, lake, roots):
     assert len(fact_rows(spark, lake)) == 7
 
 
+def test_month_that_leaves_a_mart_is_removed_from_it(spark, lake, roots):
+    for service in (YELLOW, GREEN):
+        deliver(spark, roots, service, 2023, 1, JANUARY)
+        ingest_month(spark, lake, *roots, MonthBatch(service.taxi_type, 2023, 1))
+    february = deliver(spark, roots, YELLOW, 2023, 2, FEBRUARY)
+    ingest_month(spark, lake, *roots, february)
+    build(spark, lake, zones(spark))
+    # The same trip again, now ending as it starts, which the hourly mart skips.
+    still = {**FEBRUARY, "dropoff": FEBRUARY["pickup"], "total_amount": 1.0}
+    ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 2, still))
+    upserted = spark.table(lake.raw("yellow"))
+    assert upserted.count() == 3  # another drop-off time is another raw row
+    build(spark, lake, zones(spark), BuildOptions(reload_months=("2023-02",)))
+    fact = spark.table(lake.table("fact_trips"))
+    for name, mart in MARTS.items():
+        expected = mart(fact)
+        stored = spark.table(lake.table(name)).select(*expected.columns)
+        assert contents(stored) == contents(expected)
+    hourly = spark.table(lake.table("dm_hourly_operation"))
+    assert [r[0] for r in hourly.select("report_month").distinct().collect()] == [at("2023-01-01")]
+
+
 def test_full_refresh_and_compatibility_options(spark, lake, roots):
     ingest_two_months(spark, lake, roots)
     build(spark, lake, zones(spark))

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from trip_marts.schemas import MONEY, TIMESTAMP, find_field
 
-# A decimal number with optional sign and exponent, blanks around it allowed.
+# Text of a decimal or whole number; blanks around it are allowed.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+DIGITS = r"^\s*[+-]?\d+\s*$"
 # Amounts have at most fifteen digits before the point.
 MONEY_LIMIT = 1e15
 
@@ -30,8 +31,9 @@ def safe_int(df: DataFrame, name: str) -> Column:
         return F.round(value).try_cast("int")
     if isinstance(field.dataType, T.StringType):
         # Plain digits are the usual case and need no decimal.
-        fraction = F.round(number_text(value).try_cast("decimal(38,10)"))
-        return F.coalesce(value.try_cast("int"), fraction.try_cast("int"))
+        digits = text_like(value, DIGITS).try_cast("int")
+        fraction = F.round(text_like(value, NUMBER).try_cast("decimal(38,10)"))
+        return F.coalesce(digits, fraction.try_cast("int"))
     return value.try_cast("int")
 
 
@@ -45,13 +47,13 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
-def number_text(value: Column) -> Column:
-    """Text if it is written as a number, else null.
+def text_like(value: Column, pattern: str) -> Column:
+    """Text of the given form, else null.
 
-    Text that is no number would otherwise be found out by an exception for
-    every row, many times slower than a look at its form.
+    A cast finds out by an exception for every row that a text is no number,
+    which is many times slower than a look at its form.
     """
-    return F.when(value.rlike(NUMBER), value)
+    return F.when(value.rlike(pattern), value)
 
 
 def money_from_double(value: Column) -> Column:
@@ -88,7 +90,7 @@ def safe_amount(df: DataFrame, name: str) -> Column:
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         return F.when(F.abs(value) < MONEY_LIMIT, amount(df, name))
     if isinstance(field.dataType, T.StringType):
-        value = number_text(value)
+        value = text_like(value, NUMBER)
     return value.try_cast(MONEY)
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from trip_marts.functions.times import month_text
 from trip_marts.operators.incremental import (
     above,
     global_watermark,
@@ -34,11 +35,15 @@ from trip_marts.sources.files import MonthBatch, as_batch, land_month
 from trip_marts.sources.snapshots import publish_snapshot
 from trip_marts.sources.tables import (
     append_rows,
+    create_like,
     refresh_table,
     replace_partitions,
     table_exists,
 )
 
+# Table of the months whose marts are out of date, and its entry for all months.
+PENDING = "pending_months"
+ALL_MONTHS = "all"
 FACT_PARTITIONS = (SERVICE_TYPE, PICKUP_MONTH)
 MARTS = {
     "dm_monthly_zone": monthly_zone_revenue,
@@ -154,25 +159,42 @@ def new_raw(spark: SparkSession, lake: Lake, global_mark: bool = False) -> list[
     return rows
 
 
-def load_fact(spark: SparkSession, lake: Lake, options: BuildOptions) -> list[str] | None:
-    """Bring the fact table up to date; returns the months it changed.
+def load_fact(spark: SparkSession, lake: Lake, options: BuildOptions) -> None:
+    """Bring the fact table up to date.
 
-    None stands for all months.
+    The months about to change are noted first, so that the marts catch up even
+    if the run ends before it reaches them.
     """
     table = lake.table("fact_trips")
     if options.full_refresh or not table_exists(spark, table):
+        note_pending(spark, lake, [ALL_MONTHS])
         rows = trips_of(spark, lake, all_raw(spark, lake), options)
         refresh_table(rows, table, FACT_PARTITIONS)
-        return None
-    if options.reload_months:
+    elif options.reload_months:
+        note_pending(spark, lake, list(options.reload_months))
         rows = trips_of(spark, lake, all_raw(spark, lake, options.reload_months), options)
         upsert_table(rows, table, keys=(SERVICE_TYPE, "tripid"))
-        return list(options.reload_months)
-    raw = new_raw(spark, lake, options.global_mark)
-    months = months_of(raw)
-    if months:
-        append_rows(trips_of(spark, lake, raw, options), table)
-    return months
+    else:
+        raw = new_raw(spark, lake, options.global_mark)
+        months = months_of(raw)
+        if months:
+            note_pending(spark, lake, months)
+            append_rows(trips_of(spark, lake, raw, options), table)
+
+
+def note_pending(spark: SparkSession, lake: Lake, months: list[str]) -> None:
+    """Add months to those the marts still have to catch up with."""
+    noted = spark.createDataFrame([(m,) for m in months], f"{PICKUP_MONTH} string").coalesce(1)
+    create_like(noted, lake.table(PENDING))
+    append_rows(noted, lake.table(PENDING))
+
+
+def pending_months(spark: SparkSession, lake: Lake) -> list[str] | None:
+    """Months noted since the marts were last refreshed; None stands for all."""
+    if not table_exists(spark, lake.table(PENDING)):
+        return []
+    months = sorted(row[0] for row in spark.table(lake.table(PENDING)).distinct().collect())
+    return None if ALL_MONTHS in months else months
 
 
 def months_of(raw: list[DataFrame]) -> list[str]:
@@ -187,7 +209,8 @@ def refresh_marts(
     """Recompute the marts from the stored fact, which is built only once.
 
     Given the months that changed, a mart grouped by month reads and replaces
-    only those; its groups and ranks never span two months.
+    only those; its groups and ranks never span two months. None stands for all
+    months.
     """
     fact = spark.table(lake.table("fact_trips"))
     for name, mart in MARTS.items():
@@ -197,7 +220,19 @@ def refresh_marts(
         elif months is None or not table_exists(spark, table):
             refresh_table(mart(fact), table, (month,))
         elif months:
-            replace_partitions(mart(fact.where(F.col(PICKUP_MONTH).isin(*months))), table)
+            rows = mart(fact.where(F.col(PICKUP_MONTH).isin(*months)))
+            if emptied_months(rows, spark.table(table), month, months):
+                refresh_table(mart(fact), table, (month,))
+            else:
+                replace_partitions(rows, table)
+    if table_exists(spark, lake.table(PENDING)):
+        refresh_table(spark.createDataFrame([], f"{PICKUP_MONTH} string"), lake.table(PENDING))
+
+
+def emptied_months(rows: DataFrame, stored: DataFrame, month: str, months: list[str]) -> bool:
+    """Whether a stored month has no rows any more, so replacing would keep it."""
+    before = stored.where(month_text(F.col(month)).isin(*months)).select(month).distinct()
+    return not before.isEmpty() and not before.join(rows, month, "left_anti").isEmpty()
 
 
 def declared_checks(lake: Lake, staging: bool = True) -> list[Check]:
@@ -235,8 +270,8 @@ def build(
     before anything is published.
     """
     refresh_table(dim_zone(zones), lake.table("dim_zone"))
-    months = load_fact(spark, lake, options)
-    refresh_marts(spark, lake, options, months)
+    load_fact(spark, lake, options)
+    refresh_marts(spark, lake, options, pending_months(spark, lake))
     report = check_report(spark, lake, options.check_staging, options.check_months)
     warnings = enforce(report)
     if publish_root is not None:
