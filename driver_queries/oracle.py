@@ -118,7 +118,9 @@ FACT = """
       ON t.pickup_locationid = p.locationid
     JOIN (SELECT * FROM dim_zone WHERE borough <> 'Unknown') d
       ON t.dropoff_locationid = d.locationid"""
-DIM_ZONE = "SELECT locationid, borough, zone, replace(service_zone, 'Boro', 'Green') AS service_zone FROM zones"
+DIM_ZONE = """
+    SELECT locationid, borough, zone, replace(service_zone, 'Boro', 'Green') AS service_zone
+    FROM zones"""
 
 EVENT_TRIPS = """
     SELECT event_id,

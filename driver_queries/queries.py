@@ -218,13 +218,14 @@ def safe_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cast_decimal")
 def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount = money(money_from_double(F.col("l_extendedprice")) * money_from_double(F.col("l_discount")))
+    fare = money_from_double(F.col("l_extendedprice"))
+    tip = money(fare * money_from_double(F.col("l_discount")))
     return shown(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey",
             "l_linenumber",
-            money_from_double(F.col("l_extendedprice")).alias("fare_amount"),
-            amount.alias("tip_amount"),
+            fare.alias("fare_amount"),
+            tip.alias("tip_amount"),
         )
     )
 

@@ -44,7 +44,8 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: Service) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     supplier = table(spark, sf_dir, "supplier")
     customer = table(spark, sf_dir, "customer")
-    fare, tip, tax = money_from_double(F.col("l_extendedprice")), share_of_fare("l_discount"), share_of_fare("l_tax")
+    fare = money_from_double(F.col("l_extendedprice"))
+    tip, tax = share_of_fare("l_discount"), share_of_fare("l_tax")
     if service is YELLOW:
         own = [F.lit(1.25).alias("airport_fee")]
     else:

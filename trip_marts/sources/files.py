@@ -70,7 +70,8 @@ def month_range(taxi_type: str, first: date, last: date) -> Iterator[MonthBatch]
 
 def in_month(ts: Column, batch: MonthBatch) -> Column:
     """Whether a time falls in the batch's month, as a range files can skip on."""
-    first, end = (F.lit(str(day)).cast(TIMESTAMP) for day in (batch.first_day, batch.next_first_day))
+    first = F.lit(str(batch.first_day)).cast(TIMESTAMP)
+    end = F.lit(str(batch.next_first_day)).cast(TIMESTAMP)
     return (ts >= first) & (ts < end)
 
 

@@ -33,7 +33,8 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 def create_like(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Create an empty table with the columns of ``df``, if there is none."""
-    df.limit(0).write.format("parquet").partitionBy(*partition_by).mode("ignore").saveAsTable(table)
+    empty = df.limit(0).write.format("parquet").partitionBy(*partition_by)
+    empty.mode("ignore").saveAsTable(table)
 
 
 def refresh_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
@@ -45,8 +46,9 @@ def refresh_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
 
 def append_rows(df: DataFrame, table: str) -> None:
     """Add rows, matching columns by name."""
-    target = df.sparkSession.table(table)
-    laid_out(align_to(df, target), partition_columns(df.sparkSession, table)).write.insertInto(table)
+    spark = df.sparkSession
+    rows = align_to(df, spark.table(table))
+    laid_out(rows, partition_columns(spark, table)).write.insertInto(table)
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
