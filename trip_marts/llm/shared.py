@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Code points of text that are turned into arrays at once; a longer text comes alone.
 PIECE_CHARS = 1 << 20
+#: Texts that are, so that many short ones stay small too.
+PIECE_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,11 +60,11 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Runs of consecutive rows with at most `PIECE_CHARS` of text, or one row."""
+    """Runs of at most `PIECE_ROWS` rows with at most `PIECE_CHARS` of text, or one row."""
     texts = texts_of(batch, column)
     lo, size = 0, 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > PIECE_CHARS:
+        if size and (size + len(text) > PIECE_CHARS or i - lo == PIECE_ROWS):
             yield batch.slice(lo, i - lo), texts[lo:i]
             lo, size = i, 0
         size += len(text) + 1
