@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Code points of text that are turned into arrays at once; a longer text comes alone.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 19
 #: Texts that are, so that many short ones stay small too.
 PIECE_ROWS = 1024
 
