@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trip_marts.llm import bpe, minhash, mixing, quality, secret_scan
+from trip_marts.llm import bpe, html_main, imatch, minhash, mixing, quality, secret_scan, token_files, toxicity, vector_dedup
 from trip_marts.llm.shared import ship, table
-from pyspark.sql import functions as F
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +16,39 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(ship(spark), sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every vector to others with a cosine of 0.9 or more."""
+    return vector_dedup.near_vectors(table(ship(spark), sf_dir, "embeddings"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate and copies of every document for the target weights of the languages."""
     return mixing.rates(table(ship(spark), sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(ship(spark), sf_dir, "pages")
+    return html_main.extract(pages, html_main.train(pages))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(ship(spark), sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _decided(toxicity.score(docs, model), 4, 2)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and checksums of every document's ids, read back from the files."""
+    return token_files.round_trip(table(ship(spark), sf_dir, "documents"), token_files.default_tokenizer())
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return imatch.edit_digest(table(ship(spark), sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 0.8 on shingles of two words."""
     found = minhash.near_duplicates(table(ship(spark), sf_dir, "documents"), 2, 80)
@@ -31,9 +59,13 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(ship(spark), sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    held_out = F.coalesce(quality.fold(5) == 0, F.lit(False)).alias("held_out")
-    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
-    return quality.score(docs, model).select("doc_id", held_out, "score", predicted)
+    return _decided(quality.score(docs, model), 5, 0)
+
+
+def _decided(scored: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    """Scores with their fold and the decision at 0.3."""
+    outside = F.coalesce(quality.fold(modulus) == held_out, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", outside, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +77,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan,
+        op2_embedding_near_dedup,
         op3_source_mixing,
+        op4_html_extraction,
+        op5_toxicity,
+        op6_token_files,
+        op7_document_fingerprints,
         op8_minhash_near_dedup,
         op9_quality_classifier,
         op10_byte_bpe,
