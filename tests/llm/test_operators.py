@@ -1,0 +1,328 @@
+"""The corpus operators against brute force, and on nulls, ties and empty tables."""
+
+import hashlib
+import itertools
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from trip_marts.llm import bpe, components, html_main, imatch, minhash, mixing, quality, secret_scan, textarrays, token_files, toxicity, vector_dedup
+from trip_marts.llm.shared import ship
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "the of and to in is that for it was on are with as by this be at from an"
+
+
+def text_of(seed: int, n: int) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list("aeinorstlh"), rng.integers(2, 7))) for _ in range(n))
+
+
+LONG = text_of(1, 30000)
+ODD = [None, "", "   ", "one", "x" * 3000, LONG, text_of(2, 40), text_of(2, 40), text_of(2, 40).upper(), "é ü 日本 😀 it's"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Odd rows, a repeated row and a column whose name clashes with results."""
+    ship(spark)
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(ODD)]
+    rows += [rows[6], (None, "no id here", None, None, None)]
+    return spark.createDataFrame(rows, DOCS).selectExpr("*", "'x' as score", "7 as component_id", "'y' as ids")
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_secrets_equal_plain_matching(spark, docs):
+    texts = [
+        'password = "abcdef12" and SECRET:zzzzzz, token=abc', "AKIA" + "A1" * 8 + " AKIAX " + "AKIA" + "B" * 30,
+        "0123456789abcdef01234567 x " + "f" * 23, "api_key='k/+=._-9' apikey: 123456", "ſecret=abcdef", None,
+        "ghp_" + "a1" * 18, "-----BEGIN RSA PRIVATE KEY-----",
+    ]
+    made = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = by_id(secret_scan.digest(made))
+    for i, text in enumerate(texts):
+        spans = []
+        for k, rule in enumerate(secret_scan.BASE_RULES):
+            own = [m for m in re.finditer(rule.pattern, text or "") if len(m[rule.group]) >= rule.least]
+            assert found[i][f"n_{rule.kind}"] == len(own)
+            spans += [(m.start(), k, rule.kind, m.end()) for m in own]
+        line = ",".join(f"{kind}:{s}:{e}" for s, _, kind, e in sorted(spans))
+        assert found[i].base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+    assert "github:0" in found[6].spans and "private_key:0" in found[7].spans
+    assert len(secret_scan.digest(docs).collect()) == docs.count()
+
+
+def test_trigram_queries():
+    assert secret_scan.trigram_query("[0-9a-f]+") is True
+    assert secret_scan.trigram_query("AKIA[A-Z]+") == ("and", [b"aki", b"kia"])
+    kind, options = secret_scan.trigram_query("ab(cd|ef)g")
+    assert kind == "or" and len(options) == 2
+
+
+def test_redaction_keeps_the_rest(spark):
+    rows = [(1, "a password=abcdefgh b", "en", "s", 21), (2, None, None, None, None), (3, "clean", "en", "s", 5)]
+    found = by_id(secret_scan.redact(spark.createDataFrame(rows, DOCS)))
+    assert found[1].text == "a [REDACTED] b" and found[1].n_chars == 14
+    assert found[2].text is None and found[3].text == "clean"
+
+
+def components_of(ids, linked):
+    root = {i: i for i in ids}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for a, b in linked:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(200, 200), (7, 3)]
+    found = components.components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert {r.id: r.component for r in found} == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 150)}
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_minhash_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    base = text_of(9, 60).split()
+    texts = []
+    for _ in range(60):  # a chain of growing edits: many members of one bucket aren't linked
+        base = list(base)
+        base[rng.integers(len(base))] = f"w{rng.integers(1000)}"
+        texts.append(" ".join(base))
+    texts += [None, "", " ", "one", "One", *[texts[0]] * 30]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    found = by_id(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80))
+
+    def shingles(t):
+        words = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        return set(itertools.pairwise(words)) if len(words) > 1 else {tuple(words)} if words else set()
+
+    sets = [shingles(t) for t in texts]
+    linked = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert {i: r.component_id for i, r in found.items()} == components_of(range(len(texts)), linked)
+    assert [found[i].n_shingles for i in range(len(texts))] == [len(s) for s in sets]
+    assert all(found[i].kept == (found[i].component_id == i) for i in found)
+
+
+def test_blocks_join_only_what_is_similar():
+    sets = [np.arange(k, k + 100, dtype=np.uint64) for k in (0, 5, 300, 302, 1000)]
+    links = minhash.joining_links(np.arange(5), np.arange(5), np.zeros(5, int), sets, 80)
+    assert components_of(range(5), links) == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
+
+
+def test_every_coordinate_of_a_sketch_is_filled():
+    rows = minhash.sketch([np.array([5], np.uint64), np.arange(2000, dtype=np.uint64), np.zeros(0, np.uint64)])
+    assert (rows[:2] != minhash._EMPTY).all() and (rows[2] == minhash._EMPTY).all()
+    shares = []
+    for k in range(20):
+        a, b = (np.sort(textarrays.mix(np.arange(k * 5000 + lo, k * 5000 + lo + 1000, dtype=np.uint64))) for lo in (0, 200))
+        same = minhash.sketch([a, b])
+        shares.append((same[0] == same[1]).mean())
+    assert abs(np.mean(shares) - 800 / 1200) < 0.04  # four standard errors
+
+
+def test_duplicates_leave_one_of_each_group(spark, docs):
+    kept = minhash.without_duplicates(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 4, 5, 6, 9] and ids.count(None) == 1
+
+
+def test_vectors_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "CHUNK", 16)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6, 16))
+    rows = [(centres[i % 6] + rng.normal(size=16) * (0.25 if i % 2 else 0.02)).astype(np.float32).tolist() for i in range(150)]
+    rows += [rows[0]] * 20 + [[2 * x for x in rows[0]], [0.0] * 16, None, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15, [], [1.0, 0.0], [1.0, 0.1]]
+    made = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")
+    found = {r.vec_id: r for r in vector_dedup.near_vectors(made).collect()}
+    linked = []
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        x, y = rows[a], rows[b]
+        if x and y and len(x) == len(y) and None not in x + y and np.isfinite(x + y).all() and any(x) and any(y):
+            x, y = np.array(x), np.array(y)
+            if x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.9:
+                linked.append((a, b))
+    degree = np.bincount(np.array(linked).ravel(), minlength=len(rows))
+    assert [found[i].n_links for i in range(len(rows))] == degree.tolist()
+    assert {i: r.component_id for i, r in found.items()} == components_of(range(len(rows)), linked)
+    assert vector_dedup.near_vectors(made.limit(0)).count() == 0
+
+
+def test_bpe_equals_the_library(spark, docs):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(bpe.default_ranks(), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(bpe.default_ranks())
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("'s'tremvldaZ 9  \n\t!é½ 日"), rng.integers(0, 25))) for _ in range(800)]
+    texts += ["", "''s 's\n's", "they're  I'LL x ", "a" * 400, " " * 300, LONG]
+    for _ in range(2):  # the second time from the cache
+        ids, at = codec.encode(texts)
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(at)] == [library.encode_ordinary(t) for t in texts]
+    encoded = bpe.encode(docs, bpe.default_ranks())
+    back = {r.doc_id: bytes(r.text).decode() for r in bpe.decode(encoded, bpe.default_ranks()).collect()}
+    assert all(back[i] == (t or "") for i, t in enumerate(ODD))
+    assert by_id(bpe.digest(docs, bpe.default_ranks()))[9].decoded_sha256 == hashlib.sha256(ODD[9].encode()).hexdigest()
+
+
+def test_token_files_round_trip(spark, docs, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(token_files.default_tokenizer())
+    texts = [*ODD[:4], "A.. b, C. <|endoftext|>, É. don't.", LONG[:5000]]
+    made = spark.createDataFrame([(5 * i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    start = 0
+    for i, row in sorted(by_id(token_files.round_trip(made, token_files.default_tokenizer())).items()):
+        ids = np.array([*library.encode(texts[i // 5] or "", add_special_tokens=False).ids, 1], "<u4")
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert token_files.round_trip(made.limit(0), token_files.default_tokenizer()).count() == 0
+    assert token_files.round_trip(docs, token_files.default_tokenizer()).count() == docs.count()
+
+
+def test_parts_of_a_block_decode_alone():
+    ids = np.random.default_rng(6).zipf(1.3, 300_000) % 5000
+    coder = token_files.Coder(token_files.Frequencies.of_counts(np.bincount(ids)))
+    words, states, marks = coder.encode(ids)
+    assert (coder.decode(words, states, marks, len(ids)) == ids).all()
+    size = token_files.CHECK_STEPS * token_files.LANES
+    assert (coder.decode(words, states, marks, len(ids), 2, 3) == ids[2 * size : 3 * size]).all()
+
+
+def test_fingerprints_follow_the_order_of_ids(spark, docs):
+    found = by_id(imatch.edit_digest(docs.where("doc_id is not null").dropDuplicates(["doc_id"])))
+    for i, text in enumerate(ODD):
+        changed = imatch.edited(text or "", ODD[(i + 1) % len(ODD)] or "")
+        assert found[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+    assert found[6].fingerprint == found[7].fingerprint == found[8].fingerprint
+    assert imatch.edit_digest(docs).count() == docs.count() and imatch.edit_digest(docs.limit(0)).count() == 0
+
+
+def test_an_edited_text_stays_nearer_than_another():
+    printer = imatch.Printer(np.zeros(0, np.uint64))
+    pairs = [(text_of(k, 300), text_of(k + 500, 300)) for k in range(20)]
+    for text, other in pairs:
+        own, changed, far = printer.prints([text, imatch.edited(text, other), other])
+        assert imatch.likeness(own, own) == 1 and imatch.likeness(own, changed) > imatch.likeness(own, far)
+
+
+def test_classifiers_learn_and_read_no_held_out_label(spark):
+    good = [(i, text_of(i, 80), "en", "s", 0) for i in range(120)]
+    bad = [(i, " ".join(w.upper() + "!!" for w in text_of(i, 80).split()), "en", "s", 0) for i in range(120, 180)]
+    toxic = [(i, text_of(i, 60) + " you idiot", "en", "s", 0) for i in range(180, 260)]
+    made = spark.createDataFrame(good + bad + toxic, DOCS)
+    labels = spark.createDataFrame([(i, int(not 120 <= i < 180), int(i >= 180)) for i in range(260)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    for op, fold, outside, name in ((quality, 5, 0, "quality"), (toxicity, 4, 2, "toxic")):
+        seen = labels.where(quality.fold(fold) != outside)
+        model = op.train(made, seen)
+        scores = by_id(op.score(made, model))
+        truth = {r.doc_id: r[name] for r in labels.where(f"{name} is not null and doc_id is not null").collect()}
+        assert np.mean([(scores[i].score >= 0.3) == bool(truth[i]) for i in truth]) > 0.95
+        turned = labels.withColumn(name, quality.F.when(quality.fold(fold) == outside, 1 - quality.F.col(name)).otherwise(quality.F.col(name)))
+        again = by_id(op.score(made, op.train(made, turned)))
+        assert all(abs(again[i].score - scores[i].score) < 1e-6 for i in truth)
+        empty = op.train(made, labels.limit(0))
+        assert {r.score for r in op.score(made, empty).collect()} == {0.5}
+
+
+def test_scores_of_odd_rows(spark, docs):
+    labels = spark.createDataFrame([(6, 1, 0), (9, 0, 1), (5, 1, 1)], "doc_id long, quality int, toxic int")
+    for op in (quality, toxicity):
+        model = op.train(docs, labels)
+        rows = op.score(docs, model).collect()
+        assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+        assert op.score(docs.limit(0), model).count() == 0
+    assert set(quality.accepted(docs, quality.Model(np.zeros(quality.BUCKETS), 0.0)).columns) == set(docs.columns)
+
+
+def test_deobfuscation():
+    words = "you are such an idiot and moron this is worthless trash said the loser to him".split()
+    s = " ".join(words * 50)
+    points = toxicity.symbol(np.array([ord(c) for c in s]))
+    grams = (points[:-2] * 64 + points[1:-1]) * 64 + points[2:]
+    restorer = toxicity.Restorer(toxicity.Language.of_counts(np.bincount(grams, minlength=64**3)))
+    given = ["you 1d10t", "i d i o t", "such a m0r0n!!", "w-o-r-t-h-l-e-s-s", "looooser", "fine words, 5 of them", ""]
+    assert restorer.restore(given) == ["you idiot", "idiot", "such a moron!!", "worthless", "loser", "fine words, 5 of them", ""]
+
+
+def test_mixing_meets_the_targets(spark, docs):
+    rng = np.random.default_rng(8)
+    kinds = {"aa": "abcde", "bb": "vwxyz"}
+    rows = []
+    for i in range(300):
+        lang = "aa" if i % 4 else "bb"
+        t = " ".join("".join(rng.choice(list(kinds[lang]), 5)) for _ in range(30))
+        rows.append((i, t, lang, "s", len(t)))
+    how = mixing.Mixing(targets={"aa": 0.5, "bb": 0.5})
+    found = mixing.rates(spark.createDataFrame(rows, DOCS), how).collect()
+    totals = np.sum([np.array(r.posteriors) * r.n_tokens * r.rate for r in found], axis=0)
+    assert abs(totals[0] / totals.sum() - 0.5) < 0.01 and min(r.rate for r in found) >= 0
+    assert len(mixing.rates(docs).collect()) == docs.count()
+    assert mixing.rates(docs.limit(0)).count() == 0
+    assert mixing.mixed(docs).columns == docs.columns
+
+
+PAGE = (
+    '<html><head><title>T</title></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad">Buy now.</div>'
+    "<article><h1>Title &amp; more</h1><p><b>First</b> part,<br>with words that go on.<p>Second part, and more words in it.</article>"
+    "<div class=comments><p>I liked it, really.</p></div><footer>&copy; x</footer><script>var t='</p>';</script></body></html>"
+)
+
+
+def test_main_text_of_pages(spark):
+    rows = [(i, f"u{i}", PAGE.replace("words", text_of(i, 5 + i % 9))) for i in range(60)]
+    rows += [(60, None, None), (61, "u", ""), (62, "u", "no markup at all"), (63, "u", "<p>cut off <b>her")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text")
+    found = {r.page_id: r for r in html_main.extract(pages, html_main.train(pages)).collect()}
+    for i in range(60):
+        words = text_of(i, 5 + i % 9)
+        assert found[i].text == f"Title & more First part, with {words} that go on. Second part, and more {words} in it."
+        assert found[i].n_chars == len(found[i].text)
+    assert found[60].text == "" and found[61].text == "" and len(found) == 64
+    none = pages.limit(0)
+    assert html_main.extract(none, html_main.train(none)).count() == 0
+
+
+def test_decoding_contradicts_nobody():
+    page = html_main.parse("<div><div><p>a</p><p>b</p></div><div><p>c</p></div></div>")
+    rng = np.random.default_rng(9)
+    for _ in range(20):
+        kept = html_main.decode(page, rng.random(len(page.tags)))
+        assert all(kept[page.parents[i]] for i in range(1, len(kept)) if kept[i])
+
+
+def test_pipeline_stages(spark, tmp_path):
+    good = [(i, text_of(i, 80), "en", "s", 0) for i in range(60)]
+    bad = [(i, " ".join(w.upper() + "!!" for w in text_of(i, 80).split()), "en", "s", 0) for i in range(60, 90)]
+    rows = good + bad + [(90, good[0][1] + " tail", "en", "s", 0), (91, text_of(91, 50) + " password=abcdefgh1", "en", "s", 0), (92, None, None, None, None)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, int(i < 60), 0) for i in range(90)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"s{number}"))
+        docs = spark.read.parquet(str(tmp_path / f"s{number}"))
+        kept.append({r.doc_id for r in docs.collect()})
+        assert number == len(corpus_pipeline.STAGES) - 1 or docs.columns == corpus_pipeline.COLUMNS
+    assert kept[0] >= {*range(60), 90, 91} and not kept[0] & set(range(60, 90))
+    assert kept[0] - kept[1] == {90}
+    redacted = {r.doc_id: r.text for r in spark.read.parquet(str(tmp_path / "s2")).collect()}
+    assert redacted[91].endswith("[REDACTED]")
+    assert kept[4] == kept[3] and corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()

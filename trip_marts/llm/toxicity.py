@@ -36,7 +36,7 @@ LEET_COST, REPEAT_COST, GAP_COST, KEEP_COST = 1.0, 0.5, 0.3, 6.0
 #: Letters between stray separators, letters mixed with leetspeak, letters repeated.
 SUSPICIOUS = re.compile(
     rf"(?<!\w)(?:[^\W\d_]|[{_SYMBOLS}])(?:[ .\-_*](?:[^\W\d_]|[{_SYMBOLS}])){{2,}}(?!\w)"
-    rf"|[^\W_]*(?:[^\W\d_][{_SYMBOLS}]+|[{_SYMBOLS}]+)[^\W\d_][\w{_SYMBOLS}]*"
+    rf"|[^\W_]*(?:[^\W\d_][{_SYMBOLS}]+|[{_SYMBOLS}]+)[^\W\d_](?:\w|[{_SYMBOLS}](?=[{_SYMBOLS}]*\w))*"
     r"|\w*([^\W\d_])\1{2,}\w*"
 )
 #: A stretch longer than this is no word; it stays as it is.
