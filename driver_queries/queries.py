@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -522,7 +521,13 @@ def landed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips landed by month, and the reloaded month read back by directory."""
     landing = scratch_folder(spark)
     for service in (YELLOW, GREEN):
-        land_rows(raw_trips(spark, sf_dir, service), landing, service.taxi_type)
+        rows, pickup = raw_trips(spark, sf_dir, service), F.col(service.pickup)
+        batch = MonthBatch(service.taxi_type, RELOADED_MONTH.year, RELOADED_MONTH.month)
+        following = MonthBatch.of(service.taxi_type, batch.next_first_day)
+        land_rows(rows.where(in_month(pickup, batch)), landing, batch)
+        # strays of the month before in the next batch leave that month alone
+        strays = in_month(pickup, batch) & (F.dayofmonth(pickup) == 28)
+        land_rows(rows.where(in_month(pickup, following) | strays), landing, following)
     batch = RELOADED_MONTH
     month = (F.col("year") == batch.year) & (F.col("month") == batch.month)
     rows = scan_landed(spark, landing).where(month)

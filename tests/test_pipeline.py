@@ -7,12 +7,13 @@ from conftest import at
 from rows import green, raw, yellow, zones
 
 from trip_marts.operators.quality import ChecksFailed
+from trip_marts.operators.upsert import upsert_table
 from trip_marts.plans import pipeline
 from trip_marts.plans.pipeline import MARTS, BuildOptions, Lake, backfill, build, ingest_month
 from trip_marts.schemas import GREEN, YELLOW
 from trip_marts.sources.files import MonthBatch, month_range
-from trip_marts.sources.snapshots import latest_version, read_snapshot
-from trip_marts.sources.tables import list_tables
+from trip_marts.sources.snapshots import latest_version, publish_snapshot, read_snapshot
+from trip_marts.sources.tables import list_tables, refresh_table
 from trip_marts.streaming.ingest import ingest_arrivals
 
 JANUARY = {"pickup": at("2023-01-10 08:00:00"), "dropoff": at("2023-01-10 08:20:00")}
@@ -150,12 +151,56 @@ def test_late_trips_are_upserted_by_month(spark, lake, roots):
     build(spark, lake, zones(spark))
     changes = [{**JANUARY, "fare_amount": 50.0}, {**JANUARY, "VendorID": 3}]
     ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 1, *changes))
-    build(spark, lake, zones(spark))
+    build(spark, lake, zones(spark), BuildOptions(by_mark=True))
     assert len(fact_rows(spark, lake)) == 6
-    build(spark, lake, zones(spark), BuildOptions(reload_months=("2023-01",)))
+    build(spark, lake, zones(spark))
     january = [r for r in fact_rows(spark, lake) if r[0] == "Yellow" and r[2] == "2023-01"]
-    assert [(v, float(fare)) for _, v, _, fare in january] == [(1, 50.0), (2, 20.0), (3, 20.0)]
-    assert len(fact_rows(spark, lake)) == 7
+    # the raw month no longer holds vendor 2, and neither does the fact
+    assert [(v, float(fare)) for _, v, _, fare in january] == [(1, 50.0), (3, 20.0)]
+    assert len(fact_rows(spark, lake)) == 6
+
+
+def test_future_late_and_null_pickups_are_loaded(spark, lake, roots):
+    ingest_two_months(spark, lake, roots)
+    build(spark, lake, zones(spark))
+    future, nobody = {"pickup": at("2098-01-01 00:00:00")}, {"pickup": None}
+    ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 3, future, nobody))
+    build(spark, lake, zones(spark))
+    march = {"pickup": at("2023-03-01 00:00:00")}
+    ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 4, march))
+    ingest_month(spark, lake, *roots, deliver(spark, roots, YELLOW, 2023, 1, {**JANUARY, "VendorID": 4}))
+    build(spark, lake, zones(spark))
+    stepwise = fact_rows(spark, lake)
+    build(spark, lake, zones(spark), BuildOptions(full_refresh=True))
+    assert fact_rows(spark, lake) == stepwise
+    assert {row[2] for row in stepwise} >= {"2098-01", "2023-03"} and len(stepwise) >= 8
+
+
+def test_failed_refresh_keeps_the_old_table(spark, lake):
+    for name, parts in ((lake.table("plain"), ()), (lake.table("parted"), ("p",))):
+        refresh_table(spark.createDataFrame([("a", 1)], "p string, v int"), name, parts)
+        broken = spark.createDataFrame([("b", 2)], "p string, v int").selectExpr("p", "cast(raise_error('stop') as int) as v")
+        with pytest.raises(Exception, match="stop"):
+            refresh_table(broken, name, parts)
+        assert [tuple(r) for r in spark.table(name).select("p", "v").collect()] == [("a", 1)]
+
+
+def test_later_types_widen_or_are_refused(spark, lake):
+    name = lake.table("t")
+    schema = "row_key string, x {}, pickup_month string"
+    upsert_table(spark.createDataFrame([("a", 1, "m")], schema.format("int")), name, keys=("row_key",))
+    upsert_table(spark.createDataFrame([("b", 2.75, "m")], schema.format("double")), name, keys=("row_key",))
+    assert sorted(r.x for r in spark.table(name).collect()) == [1.0, 2.75]
+    with pytest.raises(ValueError, match="'x'"):
+        upsert_table(spark.createDataFrame([("c", "z", "m")], schema.format("string")), name, keys=("row_key",))
+
+
+def test_newest_snapshot_is_the_last_published(spark, lake, tmp_path):
+    name, root = lake.table("t"), f"{tmp_path}/snap"
+    for number, version in enumerate(("v9", "v10")):
+        refresh_table(spark.createDataFrame([(number,)], "n int"), name)
+        publish_snapshot(spark, [name], root, version)
+    assert read_snapshot(spark, root, "t").first().n == 1
 
 
 def test_month_that_leaves_a_mart_is_removed_from_it(spark, lake, roots):

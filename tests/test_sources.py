@@ -102,23 +102,23 @@ def test_land_month_replaces_only_its_own_month(spark, tmp_path):
     assert landed.where("month = 1").first().VendorID == 5
 
 
-def test_land_rows_uses_the_same_directories(spark, tmp_path):
+def test_land_rows_keeps_strays_with_their_batch(spark, tmp_path):
     landing = f"{tmp_path}/landing"
-    february = {"pickup": at("2023-02-03 00:00:00")}
-    land_rows(yellow(spark, {}, {}, february, {"pickup": None}), landing, "yellow")
-    land_rows(green(spark, {}), landing, "green")
-    land_rows(yellow(spark, february, february), landing, "yellow")
+    january, february = MonthBatch("yellow", 2023, 1), MonthBatch("yellow", 2023, 2)
+    stray, nobody = {"pickup": at("2023-01-31 23:00:00")}, {"pickup": None}
+    land_rows(yellow(spark, *[{}] * 10), landing, january)
+    land_rows(green(spark, {}), landing, MonthBatch("green", 2023, 1))
+    for _ in range(2):
+        land_rows(yellow(spark, {"pickup": at("2023-02-03 00:00:00")}, stray, nobody), landing, february)
     landed = scan_landed(spark, landing)
     assert contents(landed.groupBy("taxi_type", "year", "month").count()) == [
         ("green", 2023, 1, 1),
-        ("yellow", 2023, 1, 2),
-        ("yellow", 2023, 2, 2),
-        ("yellow", None, None, 1),
+        ("yellow", 2023, 1, 10),
+        ("yellow", 2023, 2, 3),
     ]
-    january = MonthBatch("yellow", 2023, 1)
-    assert spark.read.parquet(f"{landing}/{january.landing_key}").count() == 2
+    assert spark.read.parquet(f"{landing}/{january.landing_key}").count() == 10
     one_month = scan_landed(spark, landing, landed.schema).where("taxi_type = 'yellow' AND month = 2")
-    assert one_month.count() == 2
+    assert one_month.count() == 3
     assert {Path(f).parent.name for f in files_read(one_month)} == {"month=2"}
 
 

@@ -67,7 +67,12 @@ def money_from_double(value: Column) -> Column:
     whole = scaled.cast("bigint")
     thousandths = whole + F.when(scaled - whole >= 0.5, 1).otherwise(0)
     signed = F.when(value < 0, -thousandths).otherwise(thousandths)
-    return (signed.cast("decimal(18,0)") * F.lit("0.001").cast("decimal(3,3)")).cast(MONEY)
+    exact = (signed.cast("decimal(18,0)") * F.lit("0.001").cast("decimal(3,3)")).cast(MONEY)
+    # Strict sessions fail in the casts; elsewhere they give nulls or wrong numbers,
+    # so the range is checked too. NaN counts as larger than any number.
+    bad = value.isNotNull() & (exact.isNull() | (F.abs(value) >= MONEY_LIMIT))
+    error = F.raise_error(F.concat(F.lit("not an amount: "), value.cast("string")))
+    return F.when(bad, error.cast(MONEY)).otherwise(exact)
 
 
 def amount(df: DataFrame, name: str) -> Column:

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from trip_marts.operators.unions import SERVICE_TYPE
 from trip_marts.schemas import PICKUP_MONTH, TIMESTAMP
+from trip_marts.sources.tables import HIVE_NULL_PARTITION
 
 PICKUP = "pickup_datetime"
-# How the catalog writes a null partition value.
-HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def watermarks(target: DataFrame) -> dict[str, datetime]:

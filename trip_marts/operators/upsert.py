@@ -17,6 +17,7 @@ from trip_marts.sources.tables import (
     partition_columns,
     replace_partitions,
     table_exists,
+    widen_types,
 )
 
 
@@ -72,6 +73,7 @@ def upsert_table(
     spark = batch.sparkSession
     if not table_exists(spark, table):
         create_like(batch, table, partition_by or (month,))
+    widen_types(batch, table)
     add_missing_columns(batch, table)
     target = spark.table(table)
     batch = align_to(batch, target)

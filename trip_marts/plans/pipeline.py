@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from trip_marts.functions.times import month_text
@@ -36,13 +36,16 @@ from trip_marts.sources.snapshots import publish_snapshot
 from trip_marts.sources.tables import (
     append_rows,
     create_like,
+    partition_files,
     refresh_table,
-    replace_partitions,
+    replace_exactly,
     table_exists,
 )
 
 # Table of the months whose marts are out of date, and its entry for all months.
 PENDING = "pending_months"
+# Table of the raw months as they were when the fact was loaded last.
+LOADED = "loaded_months"
 ALL_MONTHS = "all"
 FACT_PARTITIONS = (SERVICE_TYPE, PICKUP_MONTH)
 MARTS = {
@@ -63,10 +66,14 @@ MART_MONTHS = {
 class BuildOptions:
     """How a build runs; the defaults give full and correct results.
 
-    ``reload_months`` stages the named raw months (``yyyy-MM``) again and
-    upserts their trips, for rows that arrived below the high-water mark.
-    ``check_months`` limits the checks of staging and fact to some months; trip
-    ids are unique within a month, so months can be checked one by one.
+    A build stages the raw months whose files changed since the last one, whatever
+    the pickup times in them. ``reload_months`` names months (``yyyy-MM``) to stage
+    as well. The checks of staging and fact cover the changed months, which is
+    exact as trip ids never span months; ``check_months`` names others and
+    ``check_all`` takes all of them.
+
+    ``by_mark`` loads only trips later than the latest one of their service, which
+    loses late rows and everything below a future-dated one.
 
     ``by_position``, ``global_mark`` and ``credit_label`` reproduce results of
     a load that matched columns by place, kept one mark for both services, or
@@ -78,6 +85,8 @@ class BuildOptions:
     reload_months: tuple[str, ...] = ()
     check_staging: bool = True
     check_months: tuple[str, ...] = ()
+    check_all: bool = False
+    by_mark: bool = False
     by_position: bool = False
     global_mark: bool = False
     credit_label: str = CREDIT_CARD
@@ -134,10 +143,33 @@ def trips_of(
     return with_pickup_month(fact_trips(*staged, dim, by_position=options.by_position))
 
 
-def all_raw(spark: SparkSession, lake: Lake, months: tuple[str, ...] = ()) -> list[DataFrame]:
+def all_raw(spark: SparkSession, lake: Lake, months: tuple[str | None, ...] | None = None) -> list[DataFrame]:
     """The raw tables, whole or limited to some months."""
     tables = [spark.table(lake.raw(service.taxi_type)) for service in lake.services]
-    return [t.where(F.col(PICKUP_MONTH).isin(*months)) for t in tables] if months else tables
+    return [t.where(in_months(F.col(PICKUP_MONTH), months)) for t in tables] if months is not None else tables
+
+
+def in_months(month: Column, months: Iterable[str | None]) -> Column:
+    """Whether a month text is one of those given, null being one too."""
+    known = [m for m in months if m is not None]
+    found = month.isin(*known) if known else F.lit(False)
+    return found | month.isNull() if None in months else found
+
+
+def raw_state(spark: SparkSession, lake: Lake) -> dict[tuple[str, str | None], str]:
+    """Digest of the files of every raw month, by service and month."""
+    return {
+        (service.label, month): digest
+        for service in lake.services
+        for (month,), digest in partition_files(spark, lake.raw(service.taxi_type)).items()
+    }
+
+
+def loaded_state(spark: SparkSession, lake: Lake) -> dict[tuple[str, str | None], str]:
+    """What ``raw_state`` was when the fact was loaded last."""
+    if not table_exists(spark, lake.table(LOADED)):
+        return {}
+    return {(r[0], r[1]): r[2] for r in spark.table(lake.table(LOADED)).collect()}
 
 
 def new_raw(spark: SparkSession, lake: Lake, global_mark: bool = False) -> list[DataFrame]:
@@ -166,45 +198,56 @@ def load_fact(spark: SparkSession, lake: Lake, options: BuildOptions) -> None:
     if the run ends before it reaches them.
     """
     table = lake.table("fact_trips")
+    state = raw_state(spark, lake)
     if options.full_refresh or not table_exists(spark, table):
         note_pending(spark, lake, [ALL_MONTHS])
         rows = trips_of(spark, lake, all_raw(spark, lake), options)
         refresh_table(rows, table, FACT_PARTITIONS)
-    elif options.reload_months:
-        note_pending(spark, lake, list(options.reload_months))
-        rows = trips_of(spark, lake, all_raw(spark, lake, options.reload_months), options)
-        upsert_table(rows, table, keys=(SERVICE_TYPE, "tripid"))
-    else:
+    elif options.by_mark or options.global_mark:
         raw = new_raw(spark, lake, options.global_mark)
         months = months_of(raw)
         if months:
             note_pending(spark, lake, months)
             append_rows(trips_of(spark, lake, raw, options), table)
+        return
+    else:
+        loaded = loaded_state(spark, lake)
+        changed = {k for k in state.keys() | loaded.keys() if state.get(k) != loaded.get(k)}
+        named = {(s.label, m) for s in lake.services for m in options.reload_months}
+        months = sorted({m for _, m in changed | named}, key=str)
+        if months:
+            note_pending(spark, lake, months)
+            rows = trips_of(spark, lake, all_raw(spark, lake, tuple(months)), options)
+            replace_exactly(rows, table, in_months(F.col(PICKUP_MONTH), months))
+    rows = [(service, month, digest) for (service, month), digest in state.items()]
+    schema = f"{SERVICE_TYPE} string, {PICKUP_MONTH} string, digest string"
+    refresh_table(spark.createDataFrame(rows, schema).coalesce(1), lake.table(LOADED))
 
 
-def note_pending(spark: SparkSession, lake: Lake, months: list[str]) -> None:
+def note_pending(spark: SparkSession, lake: Lake, months: list[str | None]) -> None:
     """Add months to those the marts still have to catch up with."""
     noted = spark.createDataFrame([(m,) for m in months], f"{PICKUP_MONTH} string").coalesce(1)
     create_like(noted, lake.table(PENDING))
     append_rows(noted, lake.table(PENDING))
 
 
-def pending_months(spark: SparkSession, lake: Lake) -> list[str] | None:
+def pending_months(spark: SparkSession, lake: Lake) -> list[str | None] | None:
     """Months noted since the marts were last refreshed; None stands for all."""
     if not table_exists(spark, lake.table(PENDING)):
         return []
-    months = sorted(row[0] for row in spark.table(lake.table(PENDING)).distinct().collect())
+    rows = spark.table(lake.table(PENDING)).distinct().collect()
+    months = sorted((row[0] for row in rows), key=str)
     return None if ALL_MONTHS in months else months
 
 
-def months_of(raw: list[DataFrame]) -> list[str]:
-    """Pickup months of the rows, one text per calendar month."""
+def months_of(raw: list[DataFrame]) -> list[str | None]:
+    """Pickup months of the rows, one text per calendar month, null being one."""
     months = reduce(DataFrame.union, [rows.select(PICKUP_MONTH) for rows in raw]).distinct()
-    return sorted(row[0] for row in months.collect())
+    return sorted((row[0] for row in months.collect()), key=str)
 
 
 def refresh_marts(
-    spark: SparkSession, lake: Lake, options: BuildOptions, months: list[str] | None = None
+    spark: SparkSession, lake: Lake, options: BuildOptions, months: list[str | None] | None = None
 ) -> None:
     """Recompute the marts from the stored fact, which is built only once.
 
@@ -220,19 +263,8 @@ def refresh_marts(
         elif months is None or not table_exists(spark, table):
             refresh_table(mart(fact), table, (month,))
         elif months:
-            rows = mart(fact.where(F.col(PICKUP_MONTH).isin(*months)))
-            if emptied_months(rows, spark.table(table), month, months):
-                refresh_table(mart(fact), table, (month,))
-            else:
-                replace_partitions(rows, table)
-    if table_exists(spark, lake.table(PENDING)):
-        refresh_table(spark.createDataFrame([], f"{PICKUP_MONTH} string"), lake.table(PENDING))
-
-
-def emptied_months(rows: DataFrame, stored: DataFrame, month: str, months: list[str]) -> bool:
-    """Whether a stored month has no rows any more, so replacing would keep it."""
-    before = stored.where(month_text(F.col(month)).isin(*months)).select(month).distinct()
-    return not before.isEmpty() and not before.join(rows, month, "left_anti").isEmpty()
+            rows = mart(fact.where(in_months(F.col(PICKUP_MONTH), months)))
+            replace_exactly(rows, table, in_months(month_text(F.col(month)), months))
 
 
 def declared_checks(lake: Lake, staging: bool = True) -> list[Check]:
@@ -244,13 +276,13 @@ def declared_checks(lake: Lake, staging: bool = True) -> list[Check]:
 
 
 def check_report(
-    spark: SparkSession, lake: Lake, staging: bool = True, months: tuple[str, ...] = ()
+    spark: SparkSession, lake: Lake, staging: bool = True, months: tuple[str | None, ...] | None = None
 ) -> DataFrame:
-    """Result of every declared check on the current tables."""
+    """Result of every declared check, on all months or those given."""
     names = ["dim_zone", "fact_trips", "dm_monthly_zone"]
     models = {name: spark.table(lake.table(name)) for name in names}
-    if months:
-        models["fact_trips"] = models["fact_trips"].where(F.col(PICKUP_MONTH).isin(*months))
+    if months is not None:
+        models["fact_trips"] = models["fact_trips"].where(in_months(F.col(PICKUP_MONTH), months))
     if staging:
         for service, raw in zip(lake.services, all_raw(spark, lake, months), strict=True):
             models[f"stg_{service.taxi_type}"] = stage_trips(raw, service)
@@ -263,18 +295,24 @@ def build(
     zones: DataFrame,
     options: BuildOptions = BuildOptions(),
     publish_root: str | None = None,
+    publish: tuple[str, ...] = (),
 ) -> list[Row]:
     """Dimension, fact, marts, checks, and optionally a published snapshot.
 
+    ``publish`` names the tables to publish, by default the dimension and the marts.
     Returns the checks that only warn. A failed check of error severity raises
     before anything is published.
     """
     refresh_table(dim_zone(zones), lake.table("dim_zone"))
     load_fact(spark, lake, options)
-    refresh_marts(spark, lake, options, pending_months(spark, lake))
-    report = check_report(spark, lake, options.check_staging, options.check_months)
-    warnings = enforce(report)
+    pending = pending_months(spark, lake)
+    months = options.check_months or (None if options.check_all or pending is None else tuple(pending))
+    refresh_marts(spark, lake, options, pending)
+    report = check_report(spark, lake, options.check_staging, months)
+    warnings = enforce(report)  # months that fail stay pending
+    if table_exists(spark, lake.table(PENDING)):
+        refresh_table(spark.createDataFrame([], f"{PICKUP_MONTH} string"), lake.table(PENDING))
     if publish_root is not None:
-        tables = [lake.table(name) for name in ("dim_zone", *MARTS)]
+        tables = [lake.table(name) for name in publish or ("dim_zone", *MARTS)]
         publish_snapshot(spark, tables, publish_root)
     return warnings

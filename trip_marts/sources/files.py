@@ -23,8 +23,6 @@ from trip_marts.schemas import (
     service_for,
 )
 
-LANDING_PARTITIONS = ["taxi_type", "year", "month"]
-
 
 @dataclass(frozen=True, order=True)
 class MonthBatch:
@@ -96,19 +94,13 @@ def land_month(spark: SparkSession, source_root: str, landing_root: str, batch:
     return target
 
 
-def land_rows(df: DataFrame, landing_root: str, taxi_type: str) -> None:
-    """Land raw rows of any number of months in one job, by pickup month.
+def land_rows(df: DataFrame, landing_root: str, batch: MonthBatch) -> None:
+    """Land raw rows as one month's batch, in the directory that ``land_month`` uses.
 
-    Uses the same directories as ``land_month``. Months in ``df`` are replaced,
-    other months and services stay. Rows without a pickup time are kept too.
+    All rows stay with their batch, whatever their pickup time, as they would in a
+    month's file: running it again replaces that batch and nothing else.
     """
-    pickup = F.col(service_for(taxi_type).pickup)
-    rows = df.withColumns(
-        {"taxi_type": F.lit(taxi_type), "year": F.year(pickup), "month": F.month(pickup)}
-    )
-    rows.hint("rebalance", *LANDING_PARTITIONS).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*LANDING_PARTITIONS).parquet(landing_root)
+    df.write.mode("overwrite").parquet(f"{landing_root}/{batch.landing_key}")
 
 
 def scan_landed(

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "version"
-VERSION_SCHEMA = f"{VERSION} string"
+PUBLISHED_AT = "published_at"
+VERSION_SCHEMA = f"{VERSION} string, {PUBLISHED_AT} timestamp"
 
 
 def publish_snapshot(
@@ -24,18 +25,20 @@ def publish_snapshot(
     version = version or datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
     for table in tables:
         spark.table(table).write.mode("overwrite").parquet(_table_path(root, version, table))
-    record = spark.createDataFrame([(version,)], VERSION_SCHEMA)
+    record = spark.createDataFrame([(version, datetime.now(UTC))], VERSION_SCHEMA)
     record.coalesce(1).write.mode("append").parquet(f"{root}/published")
     return version
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Name of the newest complete version, None before the first publish."""
+    """The version published last, whatever its name; None before the first publish."""
     try:
         published = spark.read.schema(VERSION_SCHEMA).parquet(f"{root}/published")
     except AnalysisException:
         return None
-    return published.agg(F.max(VERSION)).first()[0]
+    # records of an earlier form have no time and count as older
+    newest = published.agg(F.max(F.struct(PUBLISHED_AT, VERSION)).alias("newest")).first()
+    return newest[0] and newest[0][VERSION]
 
 
 def read_snapshot(

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trip_marts.schemas import find_field
 
+# How the catalog writes a null partition value.
+HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -38,12 +43,83 @@ def create_like(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
 
 
 def refresh_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh: replace the table by ``df``."""
+    """Full refresh: replace the table by ``df``; a failed one leaves it as it was.
+
+    A partitioned table with the same columns has its partitions swapped when all
+    rows are written. Any other table is computed into one of its own first and
+    copied from there.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        _create(df, table, partition_by)
+    elif partition_by and _same_layout(df, table, partition_by):
+        replace_exactly(df, table, F.lit(True))
+    else:
+        following = f"{table}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {following}")
+        _create(df, following, partition_by)
+        _create(spark.table(following), table, partition_by)
+        spark.sql(f"DROP TABLE {following}")
+
+
+def _create(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
     laid_out(df, partition_by).write.format("parquet").partitionBy(*partition_by).mode(
         "overwrite"
     ).saveAsTable(table)
 
 
+def _same_layout(df: DataFrame, table: str, partition_by: Sequence[str]) -> bool:
+    stored = df.sparkSession.table(table).schema
+    same = {f.name: f.dataType for f in stored} == {f.name: f.dataType for f in df.schema}
+    return same and partition_columns(df.sparkSession, table) == list(partition_by)
+
+
+def partition_files(spark: SparkSession, table: str) -> dict[tuple[str | None, ...], str]:
+    """Digest of the file names of each partition, without reading any file.
+
+    Files never change once written, so a partition whose digest is the same has
+    the same rows. The names are those that every query of the table lists.
+    """
+    columns = partition_columns(spark, table)
+    found: dict[tuple[str | None, ...], list[str]] = {}
+    for path in spark.table(table).inputFiles():
+        parts = dict(x.split("=", 1) for x in path.split("/") if "=" in x)
+        values = tuple(_partition_value(parts[c]) for c in columns)
+        found.setdefault(values, []).append(path)
+    return {k: hashlib.sha256("\n".join(sorted(v)).encode()).hexdigest() for k, v in found.items()}
+
+
+def _partition_value(text: str) -> str | None:
+    # file names escape the value, and the list of files escapes the names
+    return None if text == HIVE_NULL_PARTITION else unquote(unquote(text))
+
+
+def replace_exactly(df: DataFrame, table: str, touched: Column) -> None:
+    """Replace all partitions for which ``touched`` holds by the rows of ``df``.
+
+    Partitions that receive rows are swapped; then those that were to change and
+    received none are removed, for which nothing has to be computed twice.
+    """
+    spark = df.sparkSession
+    columns = partition_columns(spark, table)
+    before = partition_files(spark, table)
+    replace_partitions(df, table)
+    after = partition_files(spark, table)
+    same = [k for k in before if after.get(k) == before[k]]
+    if same:
+        kinds = spark.table(table).schema
+        listed = spark.createDataFrame(same, ", ".join(f"`{c}` string" for c in columns))
+        typed = listed.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in columns])
+        for row in typed.where(touched).collect():
+            values = ", ".join(f"`{c}` = {_partition_literal(row[c])}" for c in columns)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({values})")
+        spark.catalog.refreshTable(table)
+
+
+def _partition_literal(value: object) -> str:
+    return "null" if value is None else f"'{value}'"
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     """Add rows, matching columns by name."""
     spark = df.sparkSession
@@ -87,6 +163,55 @@ def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def wider_type(stored: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The type that holds every value of both, None where there is none.
+
+    Whole numbers widen to longer ones, to decimals and to double; decimals to
+    longer decimals; float to double.
+    """
+    if stored == new or isinstance(new, T.NullType):
+        return stored
+    if isinstance(stored, T.NullType):
+        return new
+    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+    a, b = type(stored), type(new)
+    if a in whole and b in whole:
+        return stored if whole.index(a) >= whole.index(b) else new
+    floating = (T.FloatType, T.DoubleType)
+    if (a in floating and b in (*floating, *whole)) or (b in floating and a in whole):
+        return T.DoubleType()
+    if T.DecimalType in (a, b) and {a, b} <= {T.DecimalType, *whole}:
+        sizes = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (digits[type(t)], 0) for t in (stored, new)]
+        scale = max(s for _, s in sizes)
+        precision = max(p - s for p, s in sizes) + scale
+        return T.DecimalType(precision, scale) if precision <= 38 else None
+    return None
+
+
+def widen_types(df: DataFrame, table: str) -> None:
+    """Make the table's types hold the values of ``df``, or raise and name the column.
+
+    Where a type has to grow the table is written once more, which happens when a
+    source changes its schema and not with every batch.
+    """
+    spark = df.sparkSession
+    target = spark.table(table)
+    grown = {}
+    for field in target.schema.fields:
+        source = find_field(df, field.name)
+        if source is None:
+            continue
+        wide = wider_type(field.dataType, source.dataType)
+        if wide is None:
+            kinds = f"{field.dataType.simpleString()} and {source.dataType.simpleString()}"
+            raise ValueError(f"column {field.name!r} of {table}: no type holds {kinds}")
+        if wide != field.dataType:
+            grown[field.name] = F.col(f"`{field.name}`").cast(wide)
+    if grown:
+        refresh_table(target.withColumns(grown), table, partition_columns(spark, table))
+
+
 def add_missing_columns(df: DataFrame, table: str) -> None:
     """Widen the table by the columns only ``df`` has; old rows read as null."""
     spark = df.sparkSession
