@@ -9,7 +9,8 @@ Every block has a CRC-32 of its words and one of its ids.
 
 A file is Parquet with one row for each block, written by Spark, which also takes
 care of lost and repeated tasks. Files are in ascending order of `doc_id`: `part`
-numbers ranges of ids, `block` the blocks in a range.
+numbers ranges of ids, `block` the blocks in a range, `before` counts the range's
+ids before a block.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ SCALE = 20
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
 FILE_SCHEMA = (
-    "part int, block int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, words binary,"
+    "part int, block int, before long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, words binary,"
     " states binary, check_words array<long>, words_crc long, ids_crc long"
 )
 
@@ -123,16 +125,23 @@ class WordTokenizer:
 
     For a vocabulary whose pre-tokenizer drops white space, no token, and nothing that
     decides on one, reaches across a space or line feed. So texts are cut there, and
-    ids of words are kept in a bounded cache.
+    ids of words are kept in a bounded cache. A full stop or comma behind a letter is
+    a token of its own, and case is folded, so such forms of a word share its ids.
     """
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.most = most
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self._ask(["", ".", ","])
+
+    def _ask(self, words: list[str]) -> None:
+        for word, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
+            ids = e.ids
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as little-endian unsigned 32-bit integers."""
@@ -140,35 +149,72 @@ class WordTokenizer:
         words = set(itertools.chain.from_iterable(cut))
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > self.most:
-            self.known = {"": b""}
+            self.known = {}
+            self._ask(["", ".", ","])
             new = list(words)
-        for word, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            ids = e.ids
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        stems = {w: _stem(w) for w in new}
+        self._ask([w for w in {stem for stem, _ in stems.values()} if w not in self.known])
+        for word, (stem, mark) in stems.items():
+            self.known[word] = self.known[stem] + self.known[mark]
         return [b"".join(map(self.known.__getitem__, own)) for own in cut]
 
 
+def _stem(word: str) -> tuple[str, str]:
+    """A word in lower case, and the full stop or comma behind it.
+
+    Only Latin letters are folded, whose lower case needs no context, and nothing
+    that may hold the text of a special token.
+    """
+    mark = ""
+    if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+        word, mark = word[:-1], word[-1]
+    plain = (word.isascii() or max(word) < "\u0250") and "<" not in word
+    return (word.lower() if plain else word), mark
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def _tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a worker, with what it knows."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """`doc_id` and `ids` (little-endian unsigned 32-bit, `end_id` last) of every row."""
-    held: list[WordTokenizer] = []
+    """`doc_id` and `ids` (little-endian unsigned 32-bit, `end_id` last) of every row.
+
+    `ids` are packed, see `unpacked`.
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        if not held:
-            held.append(WordTokenizer(tokenizer))
-        return {"doc_id": batch.column(0), "ids": [ids + end for ids in held[0].encode(texts)]}
+        packer = zstandard.ZstdCompressor(level=1)
+        raw = [np.frombuffer(ids + end, "<u4") for ids in _tokenizer(tokenizer).encode(texts)]
+        return {"doc_id": batch.column(0), "ids": [packed(ids, packer) for ids in raw]}
 
     return map_texts(docs.select("doc_id", "text"), "doc_id long, ids binary", each)
 
 
+def packed(ids: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
+    """Ids with all low bytes first, then all second bytes and so on, compressed."""
+    return packer.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(data: bytes, reader: zstandard.ZstdDecompressor) -> np.ndarray:
+    """Ids from `packed` bytes."""
+    return np.ascontiguousarray(np.frombuffer(reader.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def frequencies(encoded: DataFrame) -> Frequencies:
     """Symbol counts over all rows; one number for each symbol reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
+        total, reader = np.zeros(1, np.int64), zstandard.ZstdDecompressor()
         for batch in batches:
             for ids in batch.column(0):
-                own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+                own = np.bincount(unpacked(ids.as_py(), reader))
                 if len(own) > len(total):
                     own[: len(total)] += total
                     total = own
@@ -191,11 +237,11 @@ def blocks(encoded: DataFrame, table: Frequencies, ranges: int) -> DataFrame:
     """
     held = encoded.sparkSession.sparkContext.broadcast(table)  # one number for each symbol
 
-    def block(coder: Coder, part: int, number: int, docs: list[tuple[int | None, np.ndarray]]) -> dict:
+    def block(coder: Coder, part: int, number: int, before: int, docs: list[tuple[int | None, np.ndarray]]) -> dict:
         ids = np.concatenate([d for _, d in docs]).astype(np.int64)
         words, states, marks = coder.encode(ids)
         return {
-            "part": part, "block": number, "n_tokens": len(ids), "doc_ids": [i for i, _ in docs],
+            "part": part, "block": number, "before": before, "n_tokens": len(ids), "doc_ids": [i for i, _ in docs],
             "doc_tokens": [len(d) for _, d in docs], "words": words, "states": states, "check_words": marks,
             "words_crc": zlib.crc32(words), "ids_crc": zlib.crc32(ids.astype("<u4").tobytes()),
         }
@@ -204,19 +250,19 @@ def blocks(encoded: DataFrame, table: Frequencies, ranges: int) -> DataFrame:
         from trip_marts.llm.shared import DataFrameSchema
 
         schema = DataFrameSchema(FILE_SCHEMA).arrow()
-        coder = Coder(held.value)
+        coder, reader = Coder(held.value), zstandard.ZstdDecompressor()
         docs: list[tuple[int | None, np.ndarray]] = []
-        size, number, part = 0, 0, 0
+        size, number, part, before = 0, 0, 0, 0
         for batch in batches:
             for i, ids, p in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), batch.column("part").to_pylist()):
-                own = np.frombuffer(ids.as_py(), "<u4")
+                own = unpacked(ids.as_py(), reader)
                 docs.append((i, own))
                 size, part = size + len(own), p
                 if size >= BLOCK_TOKENS:
-                    yield pa.RecordBatch.from_pylist([block(coder, part, number, docs)], schema)
-                    docs, size, number = [], 0, number + 1
+                    yield pa.RecordBatch.from_pylist([block(coder, part, number, before, docs)], schema)
+                    docs, size, number, before = [], 0, number + 1, before + size
         if docs:
-            yield pa.RecordBatch.from_pylist([block(coder, part, number, docs)], schema)
+            yield pa.RecordBatch.from_pylist([block(coder, part, number, before, docs)], schema)
 
     ordered = encoded.repartitionByRange(ranges, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
     return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, FILE_SCHEMA)
@@ -230,8 +276,6 @@ def read_back(files: DataFrame, table: Frequencies) -> DataFrame:
     held = files.sparkSession.sparkContext.broadcast(table)
     totals = {r.part: r.n for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
     before = dict(zip(sorted(totals), itertools.accumulate([totals[p] for p in sorted(totals)][:-1], initial=0)))
-    inside = F.sum("n_tokens").over(_earlier())
-    placed = files.select("part", "block", F.coalesce(inside, F.lit(0)).alias("inside"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(held.value)
@@ -243,18 +287,12 @@ def read_back(files: DataFrame, table: Frequencies) -> DataFrame:
                 if zlib.crc32(ids.tobytes()) != row["ids_crc"]:
                     raise ValueError(f"wrong ids in part {row['part']}, block {row['block']}")
                 edges = np.concatenate([[0], np.cumsum(row["doc_tokens"])])
-                start = before[row["part"]] + row["inside"] + edges[:-1]
+                start = before[row["part"]] + row["before"] + edges[:-1]
                 own = [ids[a:b].tobytes() for a, b in itertools.pairwise(edges)]
                 columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(start), pa.array(np.diff(edges)), pa.array(own)]
                 yield pa.record_batch(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
-    return files.join(placed, ["part", "block"]).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def _earlier():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_files(docs: DataFrame, tokenizer: str, end_id: int = 1) -> tuple[DataFrame, Frequencies]:
