@@ -209,16 +209,22 @@ def joining_links(names: np.ndarray, parts: np.ndarray, sides: np.ndarray, sets:
 
 
 def _left_over(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside buckets whose members are not in one component yet."""
+    """Links inside buckets whose members are not in one component yet.
+
+    Members of a bucket's largest component are compared with all others, not among
+    themselves, where a link would join nothing.
+    """
     known = members.where("size > 3").select("bucket", "cls", "size")  # links of three are all checked
     known = known.join(parts.select(F.col("id").alias("cls"), "component"), "cls", "left")
     known = known.withColumn("component", F.coalesce("component", "cls"))
-    open_ = known.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("who"), F.max("size").alias("size"))
-    open_ = open_.where("a <> b").groupBy("who", "size").agg(F.min("bucket").alias("bucket"))  # equal buckets once
-    rows = known.join(open_.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "bucket")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "component")
+    held_by = known.groupBy("bucket", "component").agg(F.count("*").alias("k"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("who"), F.max("size").alias("size"))
+    open_ = held_by.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("who").alias("who"), F.max("size").alias("size"), F.max(F.struct("k", "component")).alias("main"))
+    open_ = open_.where("parts > 1").groupBy("who", "size").agg(F.min(F.struct("bucket", "main")).alias("one"))  # equal buckets once
+    open_ = open_.select("one.bucket", F.col("one.main.component").alias("main"), _blocks(F.col("one.main.k")).alias("main_blocks"), (F.col("size") - F.col("one.main.k")).alias("others"))
+    rows = known.join(open_, "bucket").withColumn("other_blocks", _blocks(F.col("others")))
+    rows = rows.withColumn("inside", F.col("component") == F.col("main"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.when(F.col("inside"), F.col("main_blocks")).otherwise(F.col("other_blocks"))).cast("int"))
+    rows = rows.withColumn("meets", F.explode(_meetings())).select("bucket", "meets.*", "cls", "component")
     rows = rows.join(sets, "cls")
 
     def block(frame: pd.DataFrame) -> pd.DataFrame:
@@ -226,7 +232,32 @@ def _left_over(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: i
         links = joining_links(frame["cls"].to_numpy(), frame["component"].to_numpy(), frame["side"].to_numpy(), held, percent)
         return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 
-    return rows.groupBy("bucket", "i", "j").applyInPandas(block, "u long, v long")
+    return rows.groupBy("bucket", "among", "i", "j").applyInPandas(block, "u long, v long")
+
+
+def _blocks(members: Column) -> Column:
+    return F.ceil(members / BLOCK).cast("int")
+
+
+def _meetings() -> Column:
+    """The comparisons a member takes part in: `(among, i, j, side)`.
+
+    Blocks `i` of the largest component (side 1) meet all blocks `j` of the others;
+    `among` tells pairs of blocks of the others.
+    """
+
+    def meeting(among: Column, i: Column, j: Column, side: Column) -> Column:
+        return F.struct(among.alias("among"), i.alias("i"), j.alias("j"), side.alias("side"))
+
+    def numbers(blocks: str) -> Column:
+        return F.sequence(F.lit(0), F.col(blocks) - 1)
+
+    own, yes, no = F.col("own"), F.lit(True), F.lit(False)
+    as_main = F.transform(numbers("other_blocks"), lambda j: meeting(no, own, j, F.lit(1)))
+    with_main = F.transform(numbers("main_blocks"), lambda i: meeting(no, i, own, F.lit(0)))
+    with_others = F.transform(numbers("other_blocks"), lambda j: meeting(yes, F.least(own, j), F.greatest(own, j), (own > j).cast("int")))
+    as_other = F.when(F.col("others") > 1, F.concat(with_main, with_others)).otherwise(with_main)
+    return F.when(F.col("inside"), as_main).otherwise(as_other)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
