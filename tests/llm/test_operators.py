@@ -223,6 +223,24 @@ def test_an_edited_text_stays_nearer_than_another():
         assert imatch.likeness(own, own) == 1 and imatch.likeness(own, changed) > imatch.likeness(own, far)
 
 
+def test_copies_make_no_term_common(spark):
+    ship(spark)
+    texts = [text_of(k, 60) for k in range(40)]
+    rows = [(i, texts[i] if i < 40 else texts[0], "en", "s", 0) for i in range(60)]  # a third is one text
+    made = spark.createDataFrame(rows, DOCS).repartition(4, "doc_id")
+    sets = [set(own.tolist()) for own in imatch.terms(texts)]
+    held = {t: sum(t in own for own in sets) for t in set().union(*sets)}
+    assert sorted(t for t, n in held.items() if n > 0.05 * 40) == imatch.common_terms(made, imatch.Band()).tolist()
+    found = by_id(imatch.edit_digest(made))
+    assert all(found[i].fingerprint for i in range(60)) and len({found[i].fingerprint for i in range(40)}) == 40
+    assert all(found[i].near_edited > found[i].near_next for i in range(39))
+    few = by_id(imatch.edit_digest(made.where("doc_id < 10")))  # every term is above the share
+    assert len({few[i].fingerprint for i in range(10)} - {""}) == 10 and all(few[i].near_edited > few[i].near_next for i in range(10))
+    printer = imatch.Printer(imatch.terms([texts[0]])[0])  # no term inside the band
+    own, changed, far = printer.prints([texts[0], imatch.edited(texts[0], texts[1]), texts[2]])
+    assert imatch.likeness(own, changed) > imatch.likeness(own, far)
+
+
 def test_classifiers_learn_and_read_no_held_out_label(spark):
     good = [(i, text_of(i, 80), "en", "s", 0) for i in range(120)]
     bad = [(i, " ".join(w.upper() + "!!" for w in text_of(i, 80).split()), "en", "s", 0) for i in range(120, 180)]

@@ -7,10 +7,13 @@ which a subset holds about half a term to four of its terms, so that a signature
 of the sorted distinct terms of one subset, covers few terms whatever the length,
 and an edit leaves the signatures of the subsets that it doesn't touch.
 
-The common end of the band is decided exactly: terms in more than `share` of the
-documents are at most (mean distinct terms of a document) / `share` many, which bounds
-what is broadcast. The rare end is the frequency of one document, so no term is
-left out for being rare and no table of all terms is needed.
+The common end of the band is decided exactly over distinct texts, so that copies of a
+text don't make its terms common: terms in more than `share` of the distinct texts are at
+most (mean distinct terms of a text) / `share` many, which bounds what is broadcast. The
+rare end is the frequency of one text, so no term is left out for being rare and no
+table of all terms is needed. A text with less than half of its terms inside the band
+also has signatures of all its terms, on levels of their own, so that only blank
+texts have none and its edits stay comparable.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Band:
-    """Terms in more than `share` of the documents are left out."""
+    """Terms in more than `share` of the distinct texts are left out."""
 
     share: float = 0.05
 
@@ -49,25 +52,49 @@ def terms(texts: list[str]) -> list[np.ndarray]:
 def common_terms(docs: DataFrame, band: Band) -> np.ndarray:
     """Hashes of the terms above the band, sorted.
 
-    Document frequencies are counted over all documents, in each piece first. Only
-    terms beyond the share reach the driver; the number of distinct terms in a mean
-    document divided by the share bounds them.
+    Frequencies are counted over all distinct texts, known by their hashes; null counts
+    as empty. Counts in which only copies within one piece are taken together bound
+    them from above and give the candidates. Then every row says as bits which candidates
+    it holds, and each text counts once. The number of distinct terms in a mean text
+    divided by the share, times the mean number of copies, bounds the candidates.
     """
+    hashed = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    limit = band.share * hashed.select("h").distinct().count()
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        every, n = np.unique(np.concatenate(terms(texts)), return_counts=True)
+        every, n = np.unique(np.concatenate(terms(list(dict.fromkeys(texts)))), return_counts=True)
         return {"term": every.view(np.int64), "n": n}
 
     counts = map_texts(docs.select("text"), "term long, n long", each).groupBy("term").agg(F.sum("n").alias("n"))
-    found = counts.where(F.col("n") > band.share * docs.count()).select("term").collect()
-    return np.sort(np.array([r.term for r in found], np.int64).view(_U))
+    found = counts.where(F.col("n") > limit).select("term").collect()
+    candidates = np.sort(np.array([r.term for r in found], np.int64).view(_U))
+    if not len(candidates):
+        return candidates
+    held = docs.sparkSession.sparkContext.broadcast(candidates)
+
+    def marks(batch: pa.RecordBatch, texts: list[str]) -> dict:
+        rows: dict[int, bytes] = {}
+        for h, text in dict(zip(batch.column(1).to_pylist(), texts)).items():
+            rows[h] = np.packbits(np.isin(held.value, terms([text])[0], assume_unique=True)).tobytes()
+        return {"h": list(rows), "bits": list(rows.values())}
+
+    def added(batches):
+        sums = np.zeros(len(held.value), np.int64)
+        for batch in batches:
+            for bits in batch.column(0).to_pylist():
+                sums += np.unpackbits(np.frombuffer(bits, np.uint8), count=len(sums))
+        yield pa.record_batch([pa.array(np.flatnonzero(sums)), pa.array(sums[sums > 0])], names=["i", "n"])
+
+    once = map_texts(hashed, "h long, bits binary", marks).distinct()  # equal texts, equal bits
+    total = once.select("bits").mapInArrow(added, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    return candidates[sorted(r.i for r in total.where(F.col("n") > limit).collect())]
 
 
 _SALTS = mix(np.arange(1, SUBSETS + 1, dtype=_U) * _U(0x5851F42D4C957F2D))
 
 
 def fingerprint(own: np.ndarray) -> dict[tuple[int, int], int]:
-    """Signatures by level and subset, of the sorted terms inside the band."""
+    """Signatures by level and subset, of sorted terms."""
     if len(own) == 0:
         return {}
     level = max(0, len(own).bit_length() - 2)
@@ -84,7 +111,7 @@ def fingerprint(own: np.ndarray) -> dict[tuple[int, int], int]:
 def likeness(a: dict[tuple[int, int], int], b: dict[tuple[int, int], int]) -> float:
     """Best share of equal signatures over the levels that both have; 0 to 1.
 
-    Two texts without terms inside the band are alike, one such text is like no other.
+    Two blank texts are alike, a blank text is like no other.
     """
     if not a or not b:
         return float(not a and not b)
@@ -101,6 +128,10 @@ def as_text(signatures: dict[tuple[int, int], int]) -> str:
     return " ".join(f"{lvl:02x}{k:02x}{s:016x}" for (lvl, k), s in sorted(signatures.items()))
 
 
+#: Added to the levels of signatures that cover all terms of a text.
+ALL_TERMS = 0x40
+
+
 class Printer:
     """Fingerprints of texts against the terms above the band."""
 
@@ -112,15 +143,18 @@ class Printer:
         for own in terms(texts):
             at = np.searchsorted(self.common, own)
             known = self.common[np.minimum(at, max(len(self.common) - 1, 0))] == own if len(self.common) else np.zeros(len(own), bool)
-            made.append(fingerprint(own[~known]))
+            found = fingerprint(own[~known])
+            if 2 * known.sum() > len(own):
+                found |= {(lvl | ALL_TERMS, k): s for (lvl, k), s in fingerprint(own).items()}
+            made.append(found)
         return made
 
 
 def fingerprints(docs: DataFrame, band: Band = Band()) -> DataFrame:
     """`doc_id` and `fingerprint` of every row of `docs`.
 
-    Null or blank texts have an empty fingerprint; equal texts have equal ones; rows
-    that repeat are done each; other columns are ignored.
+    Null or blank texts, and no others, have an empty fingerprint; equal texts have
+    equal ones; rows that repeat are done each; other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(common_terms(docs, band))
 
