@@ -297,6 +297,32 @@ def test_mixing_meets_the_targets(spark, docs):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixing_with_a_document_of_a_third_of_the_tokens(spark):
+    ship(spark)
+    rng = np.random.default_rng(3)
+    soft = np.column_stack([rng.uniform(0.0, 0.02, 300), np.zeros(300)])
+    soft[::4, 0] = rng.uniform(0.97, 1.0, 75)
+    soft[:, 1] = 1 - soft[:, 0]
+    model = mixing.Classifier(["aa", "bb"], None, None)
+
+    def planned(soft, tokens, targets):
+        rows = [(int(t), p.tolist()) for t, p in zip(tokens, soft)]
+        plan = mixing.fit(spark.createDataFrame(rows, "n_tokens long, posteriors array<double>").repartition(4), model, mixing.Mixing(targets=targets))
+        expected = (plan.rates(tokens, soft) * tokens) @ soft / tokens.sum()
+        return plan, expected
+
+    tokens = np.full(300, 200)
+    for large in ([1], [0], [1, 2, 3, 5, 6]):
+        tokens[large] = 30_000 // len(large)
+        for share in (0.5, 0.9):
+            plan, expected = planned(soft, tokens, {"aa": share, "bb": 1 - share})
+            assert plan.met and np.abs(expected - [share, 1 - share]).max() <= 1e-3 * max(share, 1 - share)
+        tokens[large] = 200
+    with pytest.warns(UserWarning, match="cannot be met"):
+        plan, expected = planned(np.clip(soft, 0.3, 0.7), tokens, {"aa": 0.9, "bb": 0.1})
+    assert not plan.met and abs(plan.residual - np.abs(expected - [0.9, 0.1]).max()) < 1e-6
+
+
 PAGE = (
     '<html><head><title>T</title></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad">Buy now.</div>'
     "<article><h1>Title &amp; more</h1><p><b>First</b> part,<br>with words that go on.<p>Second part, and more words in it.</article>"

@@ -2,17 +2,20 @@
 
 A softmax classifier trained on documents with a domain label gives every document
 probabilities of the domains. Each document's rate says how often it is expected
-in the mixture; rates are nonnegative and minimise the squared relative difference
-between expected tokens of each domain and its target. Projected gradient descent
-starts from rate 1 everywhere, so rates stay as near to 1 as the targets allow.
-
-A rate follows from the document's own row and the gradients so far, which are one
-number for each domain and round. So no state is kept in between: each round is one
-pass over a compact table that adds up a few numbers, and a lost task is repeated.
+in the mixture; rates are nonnegative, bring the expected tokens of each domain to its
+target, and stay as near to 1 as that allows, in squares weighted by tokens. Such rates
+are one minus the document's probabilities times a price for each domain, projected onto
+the numbers from 0. The prices minimise a convex function; Newton steps take its curvature
+from the documents whose rate is positive, with a line search.
+
+A rate follows from the document's own row and the prices. So no state is kept in
+between: each round is one pass over a compact table that adds up a few numbers for all
+step lengths of the line search, and a lost task is repeated.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,13 +34,18 @@ TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.16, "es": 0.14}
 
 @dataclass(frozen=True)
 class Mixing:
-    """`sample`: labelled documents that train the classifier at most, by hash."""
+    """`sample`: labelled documents that train the classifier at most, by hash.
+
+    `rounds` only ends what doesn't converge; `slack` bounds the prices where targets
+    cannot be met.
+    """
 
     domain: str = "lang"
     targets: dict[str, float] = field(default_factory=lambda: dict(TARGETS))
     sample: int = 2000
-    rounds: int = 60
+    rounds: int = 200
     tolerance: float = 1e-3
+    slack: float = 1e-7
 
 
 @dataclass
@@ -93,21 +101,25 @@ def train(docs: DataFrame, how: Mixing) -> Classifier:
 
 @dataclass
 class Plan:
-    """What gives every document its rate: classifier, scale and gradients."""
+    """What gives every document its rate: classifier and prices.
+
+    `residual` is the largest difference between a share of the expected tokens and
+    its target; `met` says whether it is within the tolerance.
+    """
 
     classifier: Classifier
-    total: float
-    step: float
-    gradients: list[np.ndarray]
+    prices: np.ndarray
     shares: np.ndarray
     targets: np.ndarray
+    residual: float = 0.0
+    met: bool = True
 
     def rates(self, tokens: np.ndarray, posteriors: np.ndarray) -> np.ndarray:
-        parts = posteriors * (tokens / max(self.total, 1))[:, None]
-        rate = np.ones(len(tokens))
-        for g in self.gradients:
-            rate = np.maximum(0, rate - self.step * (parts @ g))
-        return rate
+        return np.where(tokens > 0, np.maximum(0, 1 - posteriors @ self.prices), 1.0)
+
+
+#: Step lengths that one pass tries.
+STEPS = 0.25 ** np.arange(8)
 
 
 def token_counts(texts: list[str]) -> np.ndarray:
@@ -138,48 +150,58 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(rows: DataFrame, classifier: Classifier, how: Mixing) -> Plan:
-    """Gradients that bring the expected token totals of `rows` to the targets.
+    """Prices that bring the expected token totals of `rows` to the targets.
 
     Domains without a target keep their share; targets of absent domains are left
-    out and the rest is scaled to the present number of tokens.
+    out and the rest is scaled to the present number of tokens. Targets that cannot
+    be met within the tolerance are met as nearly as possible, and a warning and the
+    plan give the residual.
     """
     k = len(classifier.domains)
+    total = rows.agg(F.sum("n_tokens")).collect()[0][0]
+    if not total:
+        return Plan(classifier, np.zeros(k), np.zeros(k), np.zeros(k))
 
-    def added(plan: Plan | None) -> np.ndarray:
-        """Sums over all rows: expected parts, or tokens, parts and products."""
+    def added(prices: np.ndarray) -> np.ndarray:
+        """For each row of `prices`: half the sum of squared rates, expected shares, curvature."""
 
         def run(batches):
-            sums = np.zeros(1 + k + k * k if plan is None else k)
+            sums = np.zeros((len(prices), 1 + k + k * k))
             for batch in batches:
                 tokens, soft = _columns(batch)
-                weighted = soft * tokens[:, None]
-                if plan is None:
-                    sums += np.concatenate([[tokens.sum()], weighted.sum(axis=0), (weighted.T @ weighted).ravel()])
-                else:
-                    sums += plan.rates(tokens, soft) @ weighted
-            yield pa.record_batch([pa.array(np.arange(len(sums))), pa.array(sums)], names=["i", "x"])
+                weight = tokens / total
+                for at, price in zip(sums, prices):
+                    rate = np.maximum(0, 1 - soft @ price)
+                    active = soft * (weight * (rate > 0))[:, None]
+                    at += np.concatenate([[weight @ rate**2 / 2], (weight * rate) @ soft, (soft.T @ active).ravel()])
+            yield pa.record_batch([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], names=["i", "x"])
 
         sums = rows.select("n_tokens", "posteriors").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x"))
-        return np.array([r.x for r in sorted(sums.collect(), key=lambda r: r.i)])
+        return np.array([r.x for r in sorted(sums.collect(), key=lambda r: r.i)]).reshape(len(prices), -1)
 
-    sums = added(None)
-    if not len(sums) or sums[0] == 0:
-        return Plan(classifier, 0, 0, [], np.zeros(k), np.zeros(k))
-    total = sums[0]
-    shares, products = sums[1 : 1 + k] / total, sums[1 + k :].reshape(k, k) / total**2
+    prices, found = np.zeros(k), added(np.zeros((1, k)))[0]
+    shares = found[1 : 1 + k]
     wanted = np.array([how.targets.get(d, s) for d, s in zip(classifier.domains, shares)])
     wanted = wanted / wanted.sum() if wanted.sum() else shares
-    weight = 1 / np.maximum(np.diag(products), 1e-12 * max(products.max(), 1e-300))
-    scaled = np.sqrt(weight)[:, None] * products * np.sqrt(weight)[None, :]
-    plan = Plan(classifier, total, 1 / np.linalg.eigvalsh(scaled)[-1], [], shares, wanted)
-    expected = shares
+    value = found[0]
     for _ in range(how.rounds):
-        gap = expected - wanted
-        if np.abs(gap).max() <= how.tolerance * wanted.max():
+        slope = wanted - found[1 : 1 + k] + how.slack * prices
+        if np.abs(slope).max() <= how.tolerance * wanted.max() / 10:
             break
-        plan.gradients.append(weight * gap)
-        expected = added(plan) / total
-    return plan
+        curvature = found[1 + k :].reshape(k, k) + (how.slack + 1e-12) * np.eye(k)
+        tried = prices - STEPS[:, None] * np.linalg.solve(curvature, slope)
+        sums = added(tried)
+        values = sums[:, 0] + tried @ wanted + how.slack / 2 * (tried**2).sum(axis=1)
+        best = int(np.argmin(values))
+        if values[best] >= value + prices @ wanted + how.slack / 2 * prices @ prices:
+            break  # as near as doubles get
+        prices, found, value = tried[best], sums[best], sums[best, 0]
+    residual = float(np.abs(found[1 : 1 + k] - wanted).max())
+    met = residual <= how.tolerance * wanted.max()
+    if not met:
+        shown = ", ".join(f"{d} {e:.4f} for {w:.4f}" for d, e, w in zip(classifier.domains, found[1:], wanted))
+        warnings.warn(f"targets cannot be met, the largest difference is {residual:.4f}: {shown}", stacklevel=2)
+    return Plan(classifier, prices, shares, wanted, residual, met)
 
 
 def rates(docs: DataFrame, how: Mixing = Mixing()) -> DataFrame:
