@@ -323,6 +323,25 @@ def test_mixing_with_a_document_of_a_third_of_the_tokens(spark):
     assert not plan.met and abs(plan.residual - np.abs(expected - [0.9, 0.1]).max()) < 1e-6
 
 
+def test_mixing_keeps_a_rare_domain(spark):
+    ship(spark)
+    rng = np.random.default_rng(5)
+    kinds = {"aa": "abcde", "bb": "vwxyz", "cc": "klmno"}
+
+    def row(i, lang):
+        return i, " ".join("".join(rng.choice(list(kinds[lang]), 5)) for _ in range(20)), lang, "s", 0
+
+    rows = [row(i, "aa" if i % 4 else "bb") for i in range(3000)] + [row(3000, "aa")] * 1000 + [row(i, "cc") for i in range(4000, 4003)]
+    rows += [(9000, " ", "dd", "s", 0), (9001, None, "ee", "s", 0)]
+    made = spark.createDataFrame(rows, DOCS).repartition(4, "doc_id")
+    how = mixing.Mixing(targets={"aa": 0.5, "bb": 0.3, "cc": 0.2}, sample=300)
+    assert mixing.train(made, how).domains == ["aa", "bb", "cc"]
+    found = mixing.rates(made, how).collect()
+    kind = {r[0]: r[2] for r in rows}
+    mass = {lang: sum(r.n_tokens * r.rate for r in found if kind[r.doc_id] == lang) for lang in kinds}
+    assert abs(mass["cc"] / sum(mass.values()) - 0.2) < 0.04, mass
+
+
 PAGE = (
     '<html><head><title>T</title></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad">Buy now.</div>'
     "<article><h1>Title &amp; more</h1><p><b>First</b> part,<br>with words that go on.<p>Second part, and more words in it.</article>"

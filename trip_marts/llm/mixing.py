@@ -34,15 +34,17 @@ TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.16, "es": 0.14}
 
 @dataclass(frozen=True)
 class Mixing:
-    """`sample`: labelled documents that train the classifier at most, by hash.
+    """`sample`: labelled documents that train the classifier, by hash.
 
-    `rounds` only ends what doesn't converge; `slack` bounds the prices where targets
+    Every domain gives as many, `sample` divided by the number of domains but `least`
+    at least, or all of its documents. `rounds` only ends what doesn't converge; `slack` bounds the prices where targets
     cannot be met.
     """
 
     domain: str = "lang"
     targets: dict[str, float] = field(default_factory=lambda: dict(TARGETS))
     sample: int = 2000
+    least: int = 50
     rounds: int = 200
     tolerance: float = 1e-3
     slack: float = 1e-7
@@ -74,31 +76,70 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, how: Mixing) -> Classifier:
     """A classifier of the domain column, from text alone.
 
-    The sample holds at most `how.sample` rows with a label and a text. Without one
-    there is a single unnamed domain.
+    All rows with a label and a text that is not blank decide which domains there are.
+    The same number of documents of each trains the weights; then biases make the mean
+    probabilities those of all such rows. Without one there is a single unnamed domain.
     """
-    labelled = docs.where(F.col(how.domain).isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64("doc_id", "text")
-    keys = labelled.select(order.alias("_h")).orderBy("_h").limit(how.sample).agg(F.max("_h")).collect()
-    if keys[0][0] is None:
+    labelled = docs.select("text", F.col(how.domain).cast("string").alias("domain"), F.xxhash64("doc_id", "text").alias("h"))
+    labelled = labelled.where(F.col("domain").isNotNull() & F.col("text").rlike("\\S"))
+    sizes = {r.domain: r.n for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
         return Classifier([""], np.zeros((BUCKETS, 1)), np.zeros(1))
+    domains = sorted(sizes)
+    wanted = max(how.least, how.sample // len(domains))
+    limits = _limits(labelled.select("domain", "h"), sizes, wanted)
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
         return {"domain": batch.column(1), "x": [x.astype(np.float32).tobytes() for x in _frequencies(texts)]}
 
-    chosen = labelled.where(order <= keys[0][0]).select("text", F.col(how.domain).cast("string").alias("domain"))
-    rows = map_texts(chosen.limit(how.sample), "domain string, x binary", each).collect()
-    domains = sorted({r.domain for r in rows})
+    chosen = _below(labelled, limits).groupBy("domain", "h").agg(F.first("text").alias("text"))
+    rows = map_texts(chosen.select("text", "domain"), "domain string, x binary", each).collect()
     x = np.stack([np.frombuffer(r.x, np.float32) for r in rows]).astype(np.float64)
-    y = np.eye(len(domains))[[domains.index(r.domain) for r in rows]]
+    own = np.array([domains.index(r.domain) for r in rows])
+    y = np.eye(len(domains))[own]
     weights, bias = np.zeros((BUCKETS, len(domains))), np.zeros(len(domains))
     for step in range(300):
         gap = (_softmax(x @ weights + bias) - y) / len(rows)
         weights -= 20 * (x.T @ gap + 1e-5 * weights)
         bias -= 2 * gap.sum(axis=0)
+    share = np.array([sizes[d] for d in domains]) / sum(sizes.values())
+    each_of = share[own] / y.sum(axis=0)[own]  # what a row of the sample stands for
+    logits = x @ weights
+    for step in range(1000):
+        mean = each_of @ _softmax(logits + bias)
+        if np.abs(np.log(mean / share)).max() < 1e-6:
+            break
+        bias += np.log(share / mean)
     return Classifier(domains, weights, bias)
 
 
+def _below(rows: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Rows whose `h` is at most the limit of their `domain`."""
+    table = rows.sparkSession.createDataFrame(list(limits.items()), "domain string, most long")
+    return rows.join(F.broadcast(table), "domain").where("h <= most").drop("most")
+
+
+def _limits(keys: DataFrame, sizes: dict[str, int], wanted: int) -> dict[str, int]:
+    """For each domain the `wanted`-th smallest distinct `h`, or the largest.
+
+    Only about twice as many hashes as are wanted reach the driver; where copies leave
+    too few below the limit guessed from the number of rows, it goes up.
+    """
+    low, high = -(1 << 63), (1 << 63) - 1
+    open_, found, factor = dict(sizes), {}, 1
+    while open_:
+        guess = {d: min(high, low + int((1 << 64) * min(1.0, factor * (1.5 * wanted + 50) / n))) for d, n in open_.items()}
+        rows: dict[str, list[int]] = {d: [] for d in open_}
+        for r in _below(keys, guess).distinct().collect():
+            rows[r.domain].append(r.h)
+        for d, hashes in rows.items():
+            if len(hashes) >= wanted or guess[d] == high:
+                found[d] = sorted(hashes)[:wanted][-1]
+                del open_[d]
+        factor *= 4
+    return found
+
+
 @dataclass
 class Plan:
     """What gives every document its rate: classifier and prices.
