@@ -280,6 +280,18 @@ def test_deobfuscation():
     assert restorer.restore(given) == ["you idiot", "idiot", "such a moron!!", "worthless", "loser", "fine words, 5 of them", ""]
 
 
+def test_long_stretches_are_decoded():
+    words = "you are such an idiot and moron this is worthless trash said the loser to him".split()
+    points = toxicity.symbol(np.array([ord(c) for c in " ".join(words * 50)]))
+    grams = (points[:-2] * 64 + points[1:-1]) * 64 + points[2:]
+    restorer = toxicity.Restorer(toxicity.Language.of_counts(np.bincount(grams, minlength=64**3)))
+    letters = "youaresuchanidiotandmoronthisisworthlesstrashsaidtheloser" * 4
+    assert len(letters) > 200
+    (read,) = restorer.restore([" ".join(letters)])
+    assert read.replace(" ", "") == letters and "idiot" in read and "worthless" in read
+    assert restorer.restore(["l" + "o" * 90 + "ser", "x" * 50_000])[0] == "loser"
+
+
 def test_mixing_meets_the_targets(spark, docs):
     rng = np.random.default_rng(8)
     kinds = {"aa": "abcde", "bb": "vwxyz"}

@@ -12,6 +12,7 @@ those n-grams that mark toxic documents among the labelled ones.
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -39,8 +40,8 @@ SUSPICIOUS = re.compile(
     rf"|[^\W_]*(?:[^\W\d_][{_SYMBOLS}]+|[{_SYMBOLS}]+)[^\W\d_](?:\w|[{_SYMBOLS}](?=[{_SYMBOLS}]*\w))*"
     r"|\w*([^\W\d_])\1{2,}\w*"
 )
-#: A stretch longer than this is no word; it stays as it is.
-LONGEST = 64
+#: Readings of stretches up to this length are kept for the next time.
+REMEMBERED = 64
 BUCKETS = 1 << 20
 GRAMS = (3, 4, 5)
 _GAPS = " .-_*"
@@ -59,6 +60,11 @@ def symbol(points: np.ndarray) -> np.ndarray:
     return out
 
 
+@functools.lru_cache(4096)
+def _symbol_of(c: str) -> int:
+    return int(symbol(np.array([ord(c)], np.int64))[0])
+
+
 @dataclass
 class Language:
     """Negative log probabilities of a symbol after two others."""
@@ -110,26 +116,29 @@ class Restorer:
         return found
 
     def decode(self, text: str) -> str:
-        """The likeliest reading of one stretch, blanks around it assumed."""
+        """The likeliest reading of one stretch of any length, blanks around it assumed.
+
+        Steps point back to the step before, so that time grows with the length only.
+        """
         gaps = len(text) > 4 and all(c in _GAPS for c in text[1::2])
-        # state: the last two symbols; value: cost and reading
-        beam: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # state: the last two symbols; value: cost, and the reading's last character with what came before
+        beam: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i in range(len(text)):
-            following: dict[tuple[int, int], tuple[float, str]] = {}
+            following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for out, channel in self.options(text, i, gaps):
-                s = int(symbol(np.array([ord(out)], np.int64))[0]) if out else -1
+                s = _symbol_of(out) if out else -1
                 for (a, b), (cost, reading) in beam.items():
                     state = (b, s) if out else (a, b)
                     total = cost + channel + (float(self.costs[a, b, s]) if out else 0.0)
                     if state not in following or total < following[state][0]:
-                        following[state] = (total, reading + out)
+                        following[state] = (total, (reading, out) if out else reading)
             beam = following
-        return min((cost + float(self.costs[a, b, 0]), reading) for (a, b), (cost, reading) in beam.items())[1]
+        return min((cost + float(self.costs[a, b, 0]), _spelled(reading)) for (a, b), (cost, reading) in beam.items())[1]
 
     def _replaced(self, m: re.Match) -> str:
         found = m[0].lower()
-        if len(found) > LONGEST:
-            return m[0]
+        if len(found) > REMEMBERED:
+            return self.decode(found)
         if found not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
@@ -157,6 +166,15 @@ class Restorer:
         return out
 
 
+def _spelled(reading: tuple | None) -> str:
+    """The characters of a chain of steps, first to last."""
+    out = []
+    while reading:
+        reading, c = reading
+        out.append(c)
+    return "".join(reversed(out))
+
+
 def _suspicious(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Disjoint stretches, cut at white space, in which the pattern can match."""
     s = symbol(points)
