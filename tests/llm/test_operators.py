@@ -375,6 +375,21 @@ def test_main_text_of_pages(spark):
     assert html_main.extract(none, html_main.train(none)).count() == 0
 
 
+def test_broken_markup_drops_no_text():
+    def text(source):
+        return " ".join(t for _, t, _ in html_main.parse(source).blocks)
+
+    for tag in ("button", "select", "svg", "object", "canvas", "template", "iframe", "noscript"):
+        article = "<article><p>First part.</p><p>More of it.</p></article>"
+        assert text(f"<body><header><{tag}></header>{article}<footer>End <{tag}>out</{tag}>.</footer></body>") == "First part. More of it. End ."
+        assert text(f"<body><{tag} a=1>{article}") == "First part. More of it."
+        assert text(f"<p>a <{tag}>out</{tag}> b</p>") == "a b"
+    assert text("<p>a<svg><svg><path d='1'></svg>out</svg> b<button>x<p>c<button>out</button></p>") == "a bx c"
+    assert text("<p title=Bob's>First words here.</p><p>it's more.</p>") == "First words here. it's more."
+    assert text("<p title='a>b' class = \"c>d\" data-x=y=\"z>First.</p><p id=it's>More.</p>") == "First. More."
+    assert text("<p>a<script>var t='</p><p>';</script>b</p><style>out") == "ab"
+
+
 def test_decoding_contradicts_nobody():
     page = html_main.parse("<div><div><p>a</p><p>b</p></div><div><p>c</p></div></div>")
     rng = np.random.default_rng(9)

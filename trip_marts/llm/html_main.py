@@ -33,6 +33,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span"
     " strike strong sub sup time tt u var wbr ruby rb rt rp input select option button textarea".split()
 )
+#: Text up to the end tag, or to the end of the page without one.
+RAW = frozenset("script style textarea title".split())
+#: Elements without text of the page, left out with all they hold up to their end tag.
 UNSEEN = ("script", "style", "noscript", "template", "svg", "title", "iframe", "object", "canvas", "select", "textarea", "button")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE_TAGS = frozenset("nav header footer aside form menu dialog address".split())
@@ -44,7 +47,7 @@ ASIDE_WORDS = frozenset(
     " header masthead footer sidebar aside related share social comment comments reply disqus cookie consent notice alert"
     " popup modal newsletter subscribe signup login form search pagination pager widget toolbar copyright legal".split()
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*)|[^>=]+)*)(?:>|\Z)", re.S)
 _WORD = re.compile(r"[A-Za-z]+")
 _CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
@@ -60,6 +63,53 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # owner, text, characters in links
 
 
+def _tokens(source: str) -> tuple[list[re.Match], dict[int, int]]:
+    """Markup in page order, and where the unseen elements that begin at a place end.
+
+    An unseen element other than raw text needs its own end tag, before its parent
+    ends and before another button or list of choices begins; one without is passed over
+    like an inline element, so that what follows it stays.
+    """
+    found: list[re.Match] = []
+    ends: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def close(tag: str, end: int) -> None:
+        if not count.get(tag):
+            return
+        while True:
+            name, start = open_.pop()
+            count[name] -= 1
+            if name == tag:
+                break
+        if tag in UNSEEN:
+            ends[start] = end
+
+    at = 0
+    while m := _TOKEN.search(source, at):
+        found.append(m)
+        at = m.end()
+        if m[2] is None:
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            close(tag, at)
+        elif m[3].rstrip().endswith("/") or tag in VOID or (tag in INLINE and tag not in UNSEEN):
+            continue
+        elif tag in RAW:
+            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+            at = ends[m.start()] = end.end() if end else len(source)
+        else:
+            if tag in ("button", "select") and count.get(tag):
+                held = next(k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == tag)
+                del open_[held]
+                count[tag] -= 1
+            open_.append((tag, m.start()))
+            count[tag] = count.get(tag, 0) + 1
+    return found, ends
+
+
 def parse(source: str) -> Page:
     """The tree of a page, however broken its markup is."""
     page = Page(["#page"], [-1], [frozenset()])
@@ -80,23 +130,20 @@ def parse(source: str) -> Page:
             if in_link:
                 linked += len(text)
 
-    at, size = 0, len(source)
-    while at < size:
-        m = _TOKEN.search(source, at)
-        if m is None:
-            add(source[at:])
-            break
+    at = 0
+    found, ends = _tokens(source)
+    for m in found:
+        if m.start() < at:
+            continue
         add(source[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag, closing = m[2].lower(), m[1] == "/"
         if tag in UNSEEN and not closing:
-            if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = end.end() if end else size
+            at = ends.get(m.start(), at)
             continue
-        if tag in INLINE:
+        if tag in INLINE or tag in UNSEEN:
             if tag == "a":
                 in_link = 0 if closing else 1
             elif tag == "br":
@@ -123,6 +170,7 @@ def parse(source: str) -> Page:
         page.words.append(frozenset(w.lower() for w in _WORD.findall(m[3])) if m[3].strip() else frozenset())
         if tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(len(page.tags) - 1)
+    add(source[at:])
     end_block()
     return page
 
