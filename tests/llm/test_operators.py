@@ -375,6 +375,18 @@ def test_main_text_of_pages(spark):
     assert html_main.extract(none, html_main.train(none)).count() == 0
 
 
+def test_copies_of_a_page_train_once(spark):
+    ship(spark)
+    htmls = [PAGE.replace("words", text_of(i, 5)) for i in range(60)]
+    made = spark.createDataFrame([(i, f"u{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    how = html_main.Training(sample=20)
+    ranked = [r.html for r in made.orderBy(quality.F.xxhash64("html")).collect()]
+    copies = spark.createDataFrame([(100 + i, "u", ranked[0]) for i in range(30)], made.schema)  # a third of the rows, first by hash
+    found = [r.html for r in html_main.sampled(made.union(copies), how).collect()]
+    assert sorted(found) == sorted(ranked[:20])
+    assert html_main.sampled(made.limit(0), how).count() == 0
+
+
 def test_broken_markup_drops_no_text():
     def text(source):
         return " ".join(t for _, t, _ in html_main.parse(source).blocks)

@@ -313,11 +313,18 @@ def main_text(source: str, model: boosting.Trees) -> str:
 
 @dataclass(frozen=True)
 class Training:
-    """`sample`: pages that train the trees at most, by hash."""
+    """`sample`: different pages that train the trees at most, by hash."""
 
     sample: int = 400
 
 
+def sampled(pages: DataFrame, how: Training) -> DataFrame:
+    """The first different pages by hash; however many copies, each once."""
+    hashed = pages.select(F.xxhash64("html").alias("h"), "html")
+    most = hashed.select("h").distinct().orderBy("h").limit(how.sample).agg(F.max("h")).collect()[0][0]
+    return hashed.where(F.col("h") <= F.lit(most)).distinct().orderBy("h", "html").limit(how.sample).select("html")
+
+
 def train(pages: DataFrame, how: Training = Training()) -> boosting.Trees:
     """Trees for the nodes of `pages`; without any page they keep what is likelier than not."""
 
@@ -333,8 +340,7 @@ def train(pages: DataFrame, how: Training = Training()) -> boosting.Trees:
             labels.append(np.concatenate([y, y, turned]).astype(np.uint8).tobytes())
         return {"x": rows, "y": labels}
 
-    chosen = pages.select("html").orderBy(F.xxhash64("html"), "html").limit(how.sample)
-    rows = sorted(map_texts(chosen, "x binary, y binary", each, "html").collect())
+    rows = sorted(map_texts(sampled(pages, how), "x binary, y binary", each, "html").collect())
     if not rows:
         return boosting.fit(np.zeros((0, FEATURES)), np.zeros(0))
     x = np.concatenate([np.frombuffer(r.x).reshape(-1, FEATURES) for r in rows])
