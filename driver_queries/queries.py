@@ -42,6 +42,7 @@ from trip_marts.sources.files import (
     MonthBatch,
     as_batch,
     in_month,
+    land_months,
     land_rows,
     scan_landed,
     scan_parquet,
@@ -518,13 +519,13 @@ def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("landed_months")
 def landed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips landed by month, and the reloaded month read back by directory."""
+    """Raw trips of every month landed, and the reloaded month read back by directory."""
     landing = scratch_folder(spark)
     for service in (YELLOW, GREEN):
         rows, pickup = raw_trips(spark, sf_dir, service), F.col(service.pickup)
         batch = MonthBatch(service.taxi_type, RELOADED_MONTH.year, RELOADED_MONTH.month)
         following = MonthBatch.of(service.taxi_type, batch.next_first_day)
-        land_rows(rows.where(in_month(pickup, batch)), landing, batch)
+        land_months(rows, landing, service.taxi_type)
         # strays of the month before in the next batch leave that month alone
         strays = in_month(pickup, batch) & (F.dayofmonth(pickup) == 28)
         land_rows(rows.where(in_month(pickup, following) | strays), landing, following)

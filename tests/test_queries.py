@@ -7,7 +7,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__
+from driver_queries import queries
 from driver_queries.compare import connect_oracle, difference
+from driver_queries.trips import raw_trips
+from trip_marts.schemas import GREEN, YELLOW
+from trip_marts.sources.files import MonthBatch, in_month, scan_landed
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="driver tables not present")
@@ -49,3 +53,16 @@ def test_results_do_not_depend_on_session_settings(spark, oracle):
         for setting, value in before.items():
             spark.conf.set(setting, value)
     assert found == dict.fromkeys(names)
+
+
+def test_every_month_is_landed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_folder", lambda spark: str(tmp_path / "landing"))
+    queries.landed_months(spark, DATA)
+    landed = scan_landed(spark, str(tmp_path / "landing"))
+    for service in (YELLOW, GREEN):
+        rows, month = raw_trips(spark, DATA, service), queries.RELOADED_MONTH
+        batch = MonthBatch(service.taxi_type, month.year, month.month)
+        strays = rows.where(in_month(queries.F.col(service.pickup), batch) & (queries.F.dayofmonth(service.pickup) == 28))
+        own = landed.where(queries.F.col("taxi_type") == service.taxi_type)
+        assert own.count() == rows.count() + strays.count()
+        assert own.select("year", "month").distinct().count() > 2

@@ -103,6 +103,19 @@ def land_rows(df: DataFrame, landing_root: str, batch: MonthBatch) -> None:
     df.write.mode("overwrite").parquet(f"{landing_root}/{batch.landing_key}")
 
 
+def land_months(df: DataFrame, landing_root: str, taxi_type: str) -> None:
+    """Land raw rows of any number of months in one job, each month as its own batch.
+
+    Uses the same directories as ``land_rows``; batches of months in ``df`` are replaced,
+    others stay. Rows without a pickup time make up a batch with null year and month.
+    """
+    pickup = F.col(service_for(taxi_type).pickup)
+    rows = df.withColumns({"year": F.year(pickup), "month": F.month(pickup)})
+    rows.hint("rebalance", "year", "month").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("year", "month").parquet(f"{landing_root}/taxi_type={taxi_type}")
+
+
 def scan_landed(
     spark: SparkSession, landing_root: str, schema: StructType | None = None
 ) -> DataFrame:
