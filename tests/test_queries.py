@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__
 from driver_queries import queries
 from driver_queries.compare import connect_oracle, difference
+from driver_queries.oracle import ORACLE
 from driver_queries.trips import raw_trips
 from trip_marts.schemas import GREEN, YELLOW
 from trip_marts.sources.files import MonthBatch, in_month, scan_landed
@@ -22,13 +23,15 @@ def oracle():
     return connect_oracle(DATA)
 
 
-@pytest.mark.parametrize("name", __spark_entry__.queries())
+@pytest.mark.parametrize("name", queries.QUERIES)
 def test_query_equals_its_sql(spark, oracle, name):
     assert difference(spark, oracle, DATA, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    assert set(queries.QUERIES) == set(ORACLE)
+    assert queries.QUERIES.items() <= __spark_entry__.queries().items()
+    assert ORACLE.items() <= __spark_entry__.oracle_sql().items()
 
 
 def test_entry(spark):
