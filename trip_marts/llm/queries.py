@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_marts.llm import bpe, html_main, imatch, minhash, mixing, quality, secret_scan, token_files, toxicity, vector_dedup
+from trip_marts.llm import bpe, exact_dedup, html_main, imatch, minhash, mixing, quality, secret_scan, token_files, toxicity, vector_dedup
 from trip_marts.llm.shared import ship, table
 
 
@@ -73,6 +73,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(ship(spark), sf_dir, "documents"), bpe.default_ranks())
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document."""
+    return exact_dedup.equal_texts(table(ship(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,9 +91,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash_near_dedup,
         op9_quality_classifier,
         op10_byte_bpe,
+        op11_exact_dedup,
     )
 }
 
-#: Every operator learns, hashes or merges in ways that SQL can't express, or not on
+#: The other operators learn, hash or merge in ways that SQL can't express, or not on
 #: whole tables in reasonable time; tests/llm compares them with brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_exact_dedup": r"""
+        SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+            count(*) OVER (PARTITION BY sha) AS group_size,
+            row_number() OVER best = 1 AS kept, sha AS text_sha256
+        FROM (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS sha
+            FROM documents
+        )
+        WINDOW best AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
+    """,
+}
