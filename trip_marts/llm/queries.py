@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_marts.llm import bpe, exact_dedup, html_main, imatch, minhash, mixing, quality, secret_scan, token_files, toxicity, vector_dedup
+from trip_marts.llm import bpe, exact_dedup, html_main, imatch, minhash, mixing, quality, secret_scan, token_files, toxicity, vector_dedup, whitening
 from trip_marts.llm.shared import ship, table
 
 
@@ -78,6 +78,11 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.equal_texts(table(ship(spark), sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the eight largest components."""
+    return whitening.whiten(table(ship(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_byte_bpe,
         op11_exact_dedup,
+        op13_embedding_whitening,
     )
 }
 
