@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_marts.llm import bpe, exact_dedup, html_main, imatch, minhash, mixing, quality, secret_scan, token_files, toxicity, vector_dedup, whitening
+from trip_marts.llm import bpe, exact_dedup, html_main, imatch, minhash, mixing, quality, repair, secret_scan, token_files, toxicity, vector_dedup, whitening
 from trip_marts.llm.shared import ship, table
 
 
@@ -78,6 +78,11 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.equal_texts(table(ship(spark), sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return repair.repair_digest(table(ship(spark), sf_dir, "conversations"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened coordinates of every vector on the eight largest components."""
     return whitening.whiten(table(ship(spark), sf_dir, "embeddings"))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_byte_bpe,
         op11_exact_dedup,
+        op12_conversation_repair,
         op13_embedding_whitening,
     )
 }
@@ -115,4 +121,80 @@ ORACLE: dict[str, str] = {
         )
         WINDOW best AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
     """,
+    # CRC-32 by its polynomial; then, row by row, the cheapest and least audit of each state
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce([n] || range(8), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+            FROM range(256) AS numbers(n)
+        ),
+        given AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+                [4294967295] || list_transform(string_split(
+                    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+                lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8))) % 20 AS damage
+            FROM conversations, crc
+        ),
+        damaged AS (
+            SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM given, range(2) AS copies(copy)
+            WHERE damage <> 0 AND (copy = 0 OR damage = 3)
+        ),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+            FROM damaged
+        ),
+        faulted AS (
+            SELECT *, CASE WHEN said = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+                lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+            FROM numbered
+        ),
+        inserts(s, t, price, letters, lines) AS (
+            VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+                (0, 2, 3, 'I', chr(10) || 'user:'), (1, 2, 3, 'I', chr(10) || 'user:'),
+                (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 2, 3, 'I', chr(10) || 'user:'),
+                (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+        ),
+        edits(s, initial, letter, t, price, role) AS (
+            VALUES (0, NULL, 'D', 0, 4, NULL), (1, NULL, 'D', 1, 4, NULL), (2, NULL, 'D', 2, 4, NULL), (3, NULL, 'D', 3, 4, NULL),
+                (0, 's', 'K', 1, 0, NULL), (0, 'u', 'K', 2, 0, NULL), (1, 'u', 'K', 2, 0, NULL),
+                (2, 'a', 'K', 3, 0, NULL), (3, 'u', 'K', 2, 0, NULL),
+                (0, NULL, 'R', 2, 3, 'user'), (1, NULL, 'R', 2, 3, 'user'), (2, NULL, 'R', 3, 3, 'assistant'), (3, NULL, 'R', 2, 3, 'user')
+        ),
+        best AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS s, 0::BIGINT AS cost, '' AS audit, '' AS body FROM faulted
+            UNION ALL
+            SELECT conv_id, i, s, cost, audit, body FROM (
+                SELECT r.conv_id, r.i, e.t AS s,
+                    b.cost + n.price + e.price + CASE WHEN e.letter <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END AS cost,
+                    b.audit || n.letters || e.letter AS audit,
+                    b.body || n.lines || CASE WHEN e.letter = 'D' THEN '' ELSE chr(10) || coalesce(e.role, r.role) || ':' || r.text END AS body
+                FROM best AS b JOIN faulted AS r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+                    JOIN inserts AS n ON n.s = b.s JOIN edits AS e ON e.s = n.t
+                WHERE (e.initial IS NULL OR e.initial = r.initial) AND (e.letter = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+            ) QUALIFY row_number() OVER (PARTITION BY conv_id, i, s ORDER BY cost, audit) = 1
+        ),
+        facts AS (
+            SELECT conv_id, count(*) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulted GROUP BY conv_id
+        ),
+        ended AS (
+            SELECT f.*, b.cost + n.price AS cost, b.audit || n.letters AS audit, substr(b.body || n.lines, 2) AS body
+            FROM facts AS f JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND b.i = f.size
+                JOIN inserts AS n ON n.s = b.s AND n.t IN (0, 3)
+            QUALIFY row_number() OVER (PARTITION BY f.conv_id ORDER BY b.cost + n.price, b.audit || n.letters) = 1
+        )
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+            coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+            coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+            LEFT JOIN ended AS e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
 }
