@@ -15,8 +15,8 @@ LARGEST_PRIME = 1 << 31
 
 
 def primes_below(limit: int, product: int) -> list[int]:
-    """The largest primes below `limit` whose product exceeds `product`."""
-    found, have, p = [], 1, limit - 1 + limit % 2
+    """The largest odd primes below `limit` whose product exceeds `product`."""
+    found, have, p = [], 1, limit + 1 - limit % 2
     while have <= product:
         p -= 2
         if _is_prime(p):

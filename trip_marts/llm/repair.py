@@ -317,7 +317,7 @@ def chunk_runs(rows: pa.Table, again: pa.Table) -> list[dict]:
         matrix = suffix_products(row_costs(kinds[a:b], faults[a:b]), np.full(b - a, b - a))[0]
         out.append(
             {
-                "conv_id": ids[a], "run": int(pos[0]) // CHUNK * 2 + number, "matrix": matrix.ravel().tolist(),
+                "conv_id": ids[a], "run": rows["chunk"][0].as_py() * 2 + number, "matrix": matrix.ravel().tolist(),
                 "kinds": kinds[a:b].tolist(), "faults": faults[a:b].tolist(), "roles": roles[a:b], "texts": texts[a:b],
             } | _facts(turns[a:b], kinds[a:b], faults[a:b])
         )
@@ -427,7 +427,7 @@ def repaired(rows: DataFrame) -> DataFrame:
     """
     id_type = rows.schema["conv_id"].dataType.simpleString()
     ordered = in_order(rows.select("conv_id", "turn", "role", "text"))
-    chunk = F.floor(F.col("pos") / F.lit(CHUNK)).cast("long") if CHUNK & (CHUNK - 1) else F.shiftright("pos", CHUNK.bit_length() - 1)
+    chunk = F.shiftright("pos", CHUNK.bit_length() - 1)
     schema = RUN_SCHEMA.format(id=id_type)
     fields = _arrow(schema)
 
