@@ -340,6 +340,10 @@ REPORT = " UNION ALL ".join(
     ]
 )
 
+HOURS = ", ".join(
+    f"CAST(sum(total_trips) FILTER (hour_of_day = {hour}) AS BIGINT) AS h{hour:02d}" for hour in range(24)
+)
+
 LAST_LOADED = """(
     SELECT max(loaded.pickup_datetime) FROM fact_trips loaded
     WHERE loaded.service_type = f.service_type
@@ -504,6 +508,14 @@ ORACLE: dict[str, str] = {
     "weekday_hour_heatmap": sql("""
         SELECT day_of_week, hour_of_day, CAST(sum(total_trips) AS BIGINT) AS total_trips
         FROM hourly WHERE service_type = 'Yellow' GROUP BY 1, 2"""),
+    "weekday_hour_grid": sql(f"""
+        SELECT day_of_week, {HOURS} FROM hourly WHERE service_type = 'Yellow' GROUP BY 1"""),
+    "revenue_levels": sql(f"""
+        SELECT CASE grouping(revenue_zone, revenue_month) WHEN 3 THEN 'total' WHEN 2 THEN 'trend' ELSE 'zone' END AS level,
+               revenue_zone, revenue_month, service_type, CAST(sum({TOTAL}) AS DOUBLE) AS {TOTAL},
+               CAST(sum(total_monthly_trips) AS BIGINT) AS total_trips
+        FROM (SELECT * REPLACE (CAST({TOTAL} AS DECIMAL(38,3)) AS {TOTAL}) FROM monthly)
+        GROUP BY GROUPING SETS ((revenue_zone), (revenue_month, service_type), ())"""),
     "speed_by_hour": sql(
         """
         SELECT hour_of_day, round(avg(avg_speed_mph), 6) AS avg_speed_mph
@@ -528,11 +540,16 @@ ORACLE: dict[str, str] = {
     ),
     "keyed_upsert": sql(UPSERTED),
     "upsert_table": sql(UPSERTED),
+    "upsert_bucketed": sql(UPSERTED),
+    "upsert_filtered": sql(UPSERTED),
     "incremental_watermark": sql(f"""
         SELECT tripid, service_type, pickup_datetime FROM fact_trips f
         WHERE pickup_datetime > {LAST_LOADED}"""),
     "incremental_load": sql(amounts_as_double("fact_trips", AMOUNTS + " airport_fee")),
+    "tipping_partials": sql("SELECT * FROM tips"),
+    "upsert_versioned": sql(UPSERTED),
     "published_snapshot": sql("SELECT * FROM monthly"),
+    "published_months": sql("SELECT * FROM monthly"),
     # Data checks
     "dq_unique": """
         SELECT l_orderkey, l_linenumber, count(*) AS n_records

@@ -25,19 +25,22 @@ from trip_marts.functions.times import (
     hour_of_day,
     minute_boundaries,
     month_start,
+    month_text,
     weekday_number,
 )
 from trip_marts.operators import quality
+from trip_marts.operators.bucketed import Buckets, upsert_bucketed
 from trip_marts.operators.dedup import first_per_key
 from trip_marts.operators.incremental import newer_rows, table_watermarks, watermarks
+from trip_marts.operators.membership import KeyFilter, upsert_filtered
 from trip_marts.operators.unions import union_services, with_service
 from trip_marts.operators.upsert import matched_rows, upsert_rows, upsert_table
 from trip_marts.plans import marts, serving
 from trip_marts.plans.dimension import dim_zone, known_zones
 from trip_marts.plans.fact import with_pickup_month
-from trip_marts.plans.pipeline import FACT_PARTITIONS
+from trip_marts.plans.pipeline import FACT_PARTITIONS, in_months, refresh_tipping
 from trip_marts.plans.staging import VENDOR, stage_trips, tie_break_order
-from trip_marts.schemas import CREDIT_CARD_AS_WRITTEN, GREEN, MONEY, SAMPLE_LIMIT, YELLOW
+from trip_marts.schemas import CREDIT_CARD_AS_WRITTEN, GREEN, MONEY, PICKUP_MONTH, SAMPLE_LIMIT, YELLOW
 from trip_marts.sources.files import (
     MonthBatch,
     as_batch,
@@ -49,7 +52,8 @@ from trip_marts.sources.files import (
     scan_zones,
 )
 from trip_marts.sources.snapshots import publish_snapshot, read_snapshot
-from trip_marts.sources.tables import append_rows, count_rows, refresh_table
+from trip_marts.sources.versioned import VersionedTable, upsert_versioned
+from trip_marts.sources.tables import append_rows, count_rows, refresh_table, replace_exactly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +64,7 @@ TABLES = (
 ).split()
 RELOADED_MONTH = MonthBatch("yellow", 1997, 5)
 LOADED_BEFORE = "1999-01-01"
+CORRECTED_MONTH = "1997-05"
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -464,6 +469,18 @@ def weekday_hour_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.weekday_hour_heatmap(hourly, YELLOW.label)
 
 
+@query("weekday_hour_grid")
+def weekday_hour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = marts.hourly_operation(event_trips(spark, sf_dir))
+    return serving.weekday_hour_grid(hourly, YELLOW.label)
+
+
+@query("revenue_levels")
+def revenue_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, trend and zones in one pass over the monthly mart."""
+    return shown(serving.revenue_levels(marts.monthly_zone_revenue(fact(spark, sf_dir))))
+
+
 @query("speed_by_hour")
 def speed_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = marts.hourly_operation(event_trips(spark, sf_dir))
@@ -553,6 +570,29 @@ def upsert_stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.table(name).select(*RAW_SHOWN))
 
 
+@query("upsert_bucketed")
+def upsert_bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert carried out on a table stored in buckets of the row key."""
+    name = scratch_lake(spark).raw("yellow")
+    for batch in table_and_reload(spark, sf_dir):
+        upsert_bucketed(batch, name, Buckets(number=4))
+    return shown(spark.table(name).select(*RAW_SHOWN))
+
+
+@query("upsert_filtered")
+def upsert_filtered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert with a key filter: all but the reloaded month are only appended to.
+
+    The table arrives in two loads of alternate months, then one month is loaded again.
+    """
+    name = scratch_lake(spark).raw("yellow")
+    trips, again = table_and_reload(spark, sf_dir)
+    even = F.month(F.col(YELLOW.pickup)) % 2 == 0
+    for batch in (trips.where(even), trips.where(~even), again):
+        upsert_filtered(batch, name, KeyFilter(bits=1 << 20))
+    return shown(spark.table(name).select(*RAW_SHOWN))
+
+
 @query("incremental_load")
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored fact loaded up to a date, then brought up to date by appending."""
@@ -564,6 +604,29 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.table(name).drop("pickup_month"))
 
 
+@query("tipping_partials")
+def tipping_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tipping rolled up from monthly states, after one month of the fact was corrected."""
+    lake = scratch_lake(spark)
+    name, trips = lake.table("fact_trips"), with_pickup_month(fact(spark, sf_dir))
+    corrected = in_months(F.col(PICKUP_MONTH), [CORRECTED_MONTH])
+    wrong = F.when(corrected, F.col("tip_amount") + 1).otherwise(F.col("tip_amount"))
+    refresh_table(trips.withColumn("tip_amount", money(wrong)), name, FACT_PARTITIONS)
+    refresh_tipping(spark, lake)
+    replace_exactly(trips.where(corrected), name, corrected)
+    refresh_tipping(spark, lake, months=[CORRECTED_MONTH])
+    return shown(spark.table(lake.table("dm_tipping")), ("avg_tip_percentage",))
+
+
+@query("upsert_versioned")
+def upsert_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert as two commits of a versioned table."""
+    stored = VersionedTable(scratch_folder(spark))
+    for batch in table_and_reload(spark, sf_dir):
+        upsert_versioned(batch, stored)
+    return shown(stored.read(spark).select(*RAW_SHOWN))
+
+
 @query("published_snapshot")
 def published_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart stored, published and read from the published version."""
@@ -574,6 +637,21 @@ def published_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(read_snapshot(spark, root, "dm_monthly_zone"))
 
 
+@query("published_months")
+def published_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart by month published twice; the second version copies the corrected month only."""
+    lake, root = scratch_lake(spark), scratch_folder(spark)
+    name, trips = lake.table("dm_monthly_zone"), with_pickup_month(fact(spark, sf_dir))
+    corrected = in_months(F.col(PICKUP_MONTH), [CORRECTED_MONTH])
+    mart = marts.monthly_zone_revenue(trips)
+    of_month = in_months(month_text(F.col("revenue_month")), [CORRECTED_MONTH])
+    refresh_table(mart.withColumn("total_monthly_trips", F.when(of_month, 0).otherwise(F.col("total_monthly_trips"))), name, ("revenue_month",))
+    publish_snapshot(spark, [name], root)
+    replace_exactly(marts.monthly_zone_revenue(trips.where(corrected)), name, of_month)
+    publish_snapshot(spark, [name], root)
+    return shown(read_snapshot(spark, root, "dm_monthly_zone"))
+
+
 # Data checks
 
 

@@ -29,6 +29,7 @@ from trip_marts.operators.upsert import upsert_table
 from trip_marts.plans.dimension import dim_zone
 from trip_marts.plans.fact import fact_trips, with_pickup_month
 from trip_marts.plans.marts import hourly_operation, monthly_zone_revenue, od_routes, tipping
+from trip_marts.plans.partials import tipping_from_state, tipping_state
 from trip_marts.plans.staging import stage_trips
 from trip_marts.schemas import CREDIT_CARD, GREEN, PICKUP_MONTH, YELLOW, Service
 from trip_marts.sources.files import MonthBatch, as_batch, land_month
@@ -47,6 +48,8 @@ PENDING = "pending_months"
 # Table of the raw months as they were when the fact was loaded last.
 LOADED = "loaded_months"
 ALL_MONTHS = "all"
+# Table of the tipping mart's counts and sums by month.
+TIPPING_STATE = "tipping_state"
 FACT_PARTITIONS = (SERVICE_TYPE, PICKUP_MONTH)
 MARTS = {
     "dm_monthly_zone": monthly_zone_revenue,
@@ -252,14 +255,15 @@ def refresh_marts(
     """Recompute the marts from the stored fact, which is built only once.
 
     Given the months that changed, a mart grouped by month reads and replaces
-    only those; its groups and ranks never span two months. None stands for all
-    months.
+    only those; its groups and ranks never span two months. The tipping mart, which
+    has no month, is rolled up from monthly states kept in a table. None stands for
+    all months.
     """
     fact = spark.table(lake.table("fact_trips"))
     for name, mart in MARTS.items():
         table, month = lake.table(name), MART_MONTHS.get(name)
         if month is None:
-            refresh_table(mart(fact, credit_label=options.credit_label), table)
+            refresh_tipping(spark, lake, options.credit_label, months)
         elif months is None or not table_exists(spark, table):
             refresh_table(mart(fact), table, (month,))
         elif months:
@@ -267,6 +271,19 @@ def refresh_marts(
             replace_exactly(rows, table, in_months(month_text(F.col(month)), months))
 
 
+def refresh_tipping(
+    spark: SparkSession, lake: Lake, credit_label: str = CREDIT_CARD, months: list[str | None] | None = None
+) -> None:
+    """Bring the monthly states up to date, reading changed months only, and roll them up."""
+    fact, table = spark.table(lake.table("fact_trips")), lake.table(TIPPING_STATE)
+    if months is None or not table_exists(spark, table):
+        refresh_table(tipping_state(fact), table, (PICKUP_MONTH,))
+    elif months:
+        changed = in_months(F.col(PICKUP_MONTH), months)
+        replace_exactly(tipping_state(fact.where(changed)), table, changed)
+    refresh_table(tipping_from_state(spark.table(table), credit_label), lake.table("dm_tipping"))
+
+
 def declared_checks(lake: Lake, staging: bool = True) -> list[Check]:
     checks = [trip_id_check("fact_trips"), revenue_check("dm_monthly_zone")]
     if staging:

@@ -51,6 +51,29 @@ def top_zones(monthly: DataFrame, rows: int = TOP_ROWS) -> DataFrame:
     )
 
 
+def revenue_levels(monthly: DataFrame) -> DataFrame:
+    """Totals, trend and zones from one aggregation of the mart.
+
+    ``level`` tells the rows apart: ``total`` has no key, ``trend`` month and service,
+    ``zone`` the zone. Keys that a level does not group by are null; a null key of a level
+    itself is a group of its own there.
+    """
+    by = {"zone": ["revenue_zone"], "trend": ["revenue_month", "service_type"], "total": []}
+    keys = [k for own in by.values() for k in own]
+    # a bit of the id for each key, set where the level leaves the key out
+    ids = {sum(1 << (len(keys) - 1 - keys.index(k)) for k in keys if k not in own): n for n, own in by.items()}
+    level = F.col("grouping")
+    name = F.lit(None).cast("string")
+    for number, text in ids.items():
+        name = F.when(level == number, text).otherwise(name)
+    sums = monthly.groupingSets([[F.col(k) for k in own] for own in by.values()], *keys).agg(
+        F.grouping_id().alias("grouping"),
+        exact_sum(F.col(TOTAL)).alias(TOTAL),
+        F.sum("total_monthly_trips").alias("total_trips"),
+    )
+    return sums.select(name.alias("level"), *keys, TOTAL, "total_trips")
+
+
 def service_choices(hourly: DataFrame) -> DataFrame:
     return hourly.select("service_type").distinct()
 
@@ -65,6 +88,21 @@ def weekday_hour_heatmap(hourly: DataFrame, service: str) -> DataFrame:
     )
 
 
+def weekday_hour_grid(hourly: DataFrame, service: str) -> DataFrame:
+    """Trips of one service as a grid: a row for each weekday, columns ``h00`` to ``h23``.
+
+    The hours are fixed, so the data is read once and every hour has its column; null
+    stands for no trips.
+    """
+    return (
+        weekday_hour_heatmap(hourly, service)
+        .groupBy("day_of_week")
+        .pivot("hour_of_day", list(range(24)))
+        .agg(F.sum("total_trips"))
+        .withColumnsRenamed({str(hour): f"h{hour:02d}" for hour in range(24)})
+    )
+
+
 def speed_by_hour(hourly: DataFrame, service: str) -> DataFrame:
     """Unweighted mean of the mean speeds by hour of one service."""
     return (

@@ -57,15 +57,36 @@ def refresh_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     else:
         following = f"{table}__next"
         spark.sql(f"DROP TABLE IF EXISTS {following}")
-        _create(df, following, partition_by)
-        _create(spark.table(following), table, partition_by)
+        _create(df, following, partition_by, like=table)
+        _create(spark.table(following), table, partition_by, like=following)
         spark.sql(f"DROP TABLE {following}")
 
 
-def _create(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    laid_out(df, partition_by).write.format("parquet").partitionBy(*partition_by).mode(
-        "overwrite"
-    ).saveAsTable(table)
+def _create(df: DataFrame, table: str, partition_by: Sequence[str], like: str | None = None) -> None:
+    """Write ``df`` as a table; one that stands for ``like`` is stored in the same buckets."""
+    number, columns, order = bucket_spec(df.sparkSession, like) if like else (0, [], [])
+    rows = df.repartition(number, *columns) if number else laid_out(df, partition_by)
+    writer = rows.write.format("parquet").partitionBy(*partition_by)
+    if number:
+        writer = writer.bucketBy(number, *columns)
+        writer = writer.sortBy(*order) if order else writer
+    properties = _properties(df.sparkSession, like) if number else {}
+    writer.mode("overwrite").saveAsTable(table)
+    for key, value in properties.items():
+        df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r.key: r.value for r in found if r.key.isidentifier()}
+
+
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str], list[str]]:
+    """Number of buckets, the columns that pick one, and their order; 0 for a table without."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    names = [described.get(k, "").strip("[]") for k in ("Bucket Columns", "Sort Columns")]
+    columns, order = ([n.strip(" `") for n in text.split(",") if n.strip(" `")] for text in names)
+    return int(described.get("Num Buckets", 0)), columns, order
 
 
 def _same_layout(df: DataFrame, table: str, partition_by: Sequence[str]) -> bool:
