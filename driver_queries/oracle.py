@@ -548,6 +548,7 @@ ORACLE: dict[str, str] = {
     "incremental_load": sql(amounts_as_double("fact_trips", AMOUNTS + " airport_fee")),
     "tipping_partials": sql("SELECT * FROM tips"),
     "upsert_versioned": sql(UPSERTED),
+    "stream_arrivals": sql(UPSERTED),
     "published_snapshot": sql("SELECT * FROM monthly"),
     "published_months": sql("SELECT * FROM monthly"),
     # Data checks
@@ -565,4 +566,5 @@ ORACLE: dict[str, str] = {
         SELECT payment_type, count(*) AS n_records FROM stg_green
         WHERE payment_type NOT IN (1, 2, 3) GROUP BY 1"""),
     "dq_report": sql(REPORT),
+    "dq_report_observed": sql(REPORT),
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +19,8 @@ from trip_marts.operators.upsert import upsert_table
 from trip_marts.sources.files import as_batch, scan_parquet
 from trip_marts.sources.tables import append_rows, create_like, table_exists
 
-LEDGER_SCHEMA = "path string, length bigint, modified timestamp, batch_id bigint, rows bigint"
+LISTING_SCHEMA = "path string, modificationTime timestamp_ltz, length bigint, content binary"
+LEDGER_SCHEMA = "path string, length bigint, modified timestamp_ltz, batch_id bigint, rows bigint"
 FILE_KEY = ["path", "length", "modified"]
 
 Upsert = Callable[[DataFrame, str], object]
@@ -30,17 +31,16 @@ def ledger_table(table: str) -> str:
     return f"{table}__arrivals"
 
 
-def new_files(spark: SparkSession, files: DataFrame, ledger: str) -> list:
-    """Files of a batch that are not in the ledger yet, oldest first.
-
-    A batch has a bounded number of files, so their names may be collected.
-    """
-    seen = spark.table(ledger).select(*FILE_KEY) if table_exists(spark, ledger) else None
-    fresh = files.join(seen, FILE_KEY, "left_anti") if seen is not None else files
-    return fresh.select(*FILE_KEY).orderBy("modified", "path").collect()
+def new_files(spark: SparkSession, files: list[Row], table: str) -> list[Row]:
+    """Those of a batch's files that are not in the table's ledger yet, oldest first."""
+    ledger, seen = ledger_table(table), set()
+    if table_exists(spark, ledger):
+        rows = spark.table(ledger).where(F.col("path").isin([f.path for f in files]))
+        seen = {tuple(row) for row in rows.select(*FILE_KEY).collect()}
+    return sorted((f for f in files if tuple(f) not in seen), key=lambda f: (f.modified, f.path))
 
 
-def take_files(spark: SparkSession, found: list, batch_id: int, taxi_type: str, table: str, upsert: Upsert) -> None:
+def take_files(spark: SparkSession, found: list[Row], batch_id: int, taxi_type: str, table: str, upsert: Upsert) -> None:
     """Upsert files one after another, each recorded when it is in the table.
 
     In order of arrival a later file replaces the rows of an earlier one. If the run
@@ -73,18 +73,19 @@ def follow_arrivals(
     """
 
     def take(files: DataFrame, batch_id: int) -> None:
-        session = files.sparkSession
-        found = new_files(session, files, ledger_table(table))
-        take_files(session, found, batch_id, taxi_type, table, upsert)
+        # names of a bounded number of files; the caller's session sees the table change
+        found = new_files(spark, files.select(*FILE_KEY).collect(), table)
+        take_files(spark, found, batch_id, taxi_type, table, upsert)
 
     names = (
         spark.readStream.format("binaryFile")
+        .schema(LISTING_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(folder)
         # the content is pruned away: only the listing is read here
-        .select("path", "length", F.col("modificationTime").cast("timestamp").alias("modified"))
+        .select("path", "length", F.col("modificationTime").alias("modified"))
     )
     return (
         names.writeStream.foreachBatch(take)
