@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from trip_marts.llm.shared import map_texts
-from trip_marts.llm.textarrays import code_points, prefix_sums, slice_hashes
+from trip_marts.llm.textarrays import byte_hashes, code_points
 
 # Symbol classes. A contraction is an apostrophe with s, t, m, d or re, ve, ll behind it.
 LETTER, NUMBER, OTHER, BLANK, SPACE, SHORT, LONG, RESET = range(8)
@@ -264,7 +264,7 @@ class Codec:
         stops = np.flatnonzero(start | between)
         ends = stops[np.searchsorted(stops, begins, "right")]
         lo, hi = offset[begins], offset[ends]
-        which, unique = pd.factorize(slice_hashes(prefix_sums(data), lo, hi))
+        which, unique = self._distinct(data, lo, hi)
         order = np.argsort(unique)
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
@@ -277,6 +277,32 @@ class Codec:
         first = np.searchsorted(begins, np.append(text_starts, len(points)))
         return out, counts[first]
 
+    @staticmethod
+    def _distinct(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of every slice among the distinct ones, and the hashes of those.
+
+        Slices of one hash are compared byte by byte with the first of them; should they
+        differ after all, each is given a hash of its own.
+        """
+        hashes = byte_hashes(data, lo, hi)
+        which, unique = pd.factorize(hashes)
+        first = np.full(len(unique), len(which))
+        np.minimum.at(first, which, np.arange(len(which)))
+        one = first[which]
+        size = hi - lo
+        same = size == size[one]
+        check = np.flatnonzero(same & (one != np.arange(len(which))))
+        bytes_at = _ranges(lo[check], hi[check])
+        differ = data[bytes_at] != data[_ranges(lo[one[check]], hi[one[check]])]
+        if differ.any() or not same.all():
+            odd = np.flatnonzero(~same)
+            odd = np.union1d(odd, np.unique(np.repeat(check, size[check])[differ]))
+            for i in odd:
+                digest = hashlib.blake2b(data[lo[i] : hi[i]].tobytes(), digest_size=8).digest()
+                hashes[i] = int.from_bytes(digest, "little")
+            which, unique = pd.factorize(hashes)
+        return which, unique
+
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of the ids, and the byte at which every id begins."""
         lo, hi = self.token_start[ids], self.token_start[ids + 1]

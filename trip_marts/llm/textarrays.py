@@ -1,15 +1,20 @@
 """Texts as arrays: words, hashes of slices, code points.
 
-A slice's hash is a polynomial over mixed symbols modulo 2**64, so that one
-prefix sum gives the hash of every slice of a batch without touching a slice
-in Python.
+Words and other byte slices that are told apart by their hash are hashed eight bytes at a
+time (`byte_hashes`). Hashes of short n-grams for feature buckets are polynomials
+modulo 2**64, so that one prefix sum gives all of them (`slice_hashes`); long slices can
+collide there by construction.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes from which on a slice is hashed by itself.
+_LONG_SLICE = 256
 _U = np.uint64
 _powers = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
 
@@ -54,11 +59,36 @@ def prefix_sums(symbols: np.ndarray) -> np.ndarray:
 
 
 def slice_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every slice, the same wherever the slice stands."""
+    """64-bit hash of every short slice, the same wherever the slice stands; for features only."""
     _, down = _up_to(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every slice of bytes, the same wherever the slice stands.
+
+    All slices are mixed eight bytes a step, each byte into a state that depends on all bytes
+    before it.
+    """
+    size = (ends - starts).astype(np.int64)
+    out = mix(size.astype(_U) + _U(_BASE))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words_at = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # eight bytes from every place on
+    own = np.flatnonzero((size > 0) & (size < _LONG_SLICE))
+    at, left = np.asarray(starts)[own], size[own]
+    while len(own):
+        chunk = words_at[at]
+        short = left < 8
+        chunk[short] &= (_U(1) << (left[short] << 3).astype(_U)) - _U(1)
+        out[own] = mix((out[own] ^ chunk) + _U(_BASE))
+        more = left > 8
+        own, at, left = own[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size >= _LONG_SLICE):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, a line feed after each, and where each starts."""
     encoded = [t.encode() for t in texts]
@@ -80,7 +110,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(edge == 1)
     if len(starts) == 0:
         return np.zeros(0, np.int64), np.zeros(0, _U)
-    hashes = slice_hashes(prefix_sums(LOWER[data]), starts, ends)
+    hashes = byte_hashes(LOWER[data], starts, ends)
     return np.searchsorted(text_starts, starts, "right") - 1, hashes
 
 
