@@ -193,10 +193,62 @@ def test_token_files_round_trip(spark, docs, monkeypatch):
         ids = np.array([*library.encode(texts[i // 5] or "", add_special_tokens=False).ids, 1], "<u4")
         assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+    path = token_files.write_files(made, token_files.default_tokenizer())
+    whole = {r.doc_id: r.ids for r in token_files.read_back(spark, path).collect()}
+    some = {r.doc_id: r.ids for r in token_files.read_some(spark, path, [5, 20, 25, 7]).collect()}
+    assert some == {i: whole[i] for i in (5, 20, 25)}
+    broken = spark.read.parquet(f"{path}/table").withColumn("part", quality.F.col("part") + 1)
+    broken.write.parquet(f"{path}/other/table")
+    with pytest.raises(ValueError, match="damaged frequency table"):
+        token_files.read_table(spark, f"{path}/other")
+    spark.read.parquet(f"{path}/table").write.parquet(f"{path}/bad/table")
+    blocks = spark.read.parquet(f"{path}/blocks").withColumn("words_crc", quality.F.col("words_crc") + 1)
+    blocks.write.parquet(f"{path}/bad/blocks")
+    with pytest.raises(Exception, match="damaged words"):
+        token_files.read_back(spark, f"{path}/bad").collect()
     assert token_files.round_trip(made.limit(0), token_files.default_tokenizer()).count() == 0
     assert token_files.round_trip(docs, token_files.default_tokenizer()).count() == docs.count()
 
 
+def test_words_equal_the_library():
+    words = token_files.WordTokenizer(token_files.default_tokenizer(), most=4000)  # the cache is emptied now and then
+    rng = np.random.default_rng(12)
+    letters = [*"aZ.,'s 9\n\té<İ\u0958\u0301kK-", "<|endoftext|>", "<|ENDOFTEXT|>", " x.", " ab, ", "...", "\xa0", "\u0f43.", "\u0a33."]
+    for _ in range(3):
+        texts = ["".join(rng.choice(letters, rng.integers(0, 25))) for _ in range(3000)] + ["", "a", "A.", "."]
+        ids, at = words.encode(texts)
+        library = [e.ids for e in words.library.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(at)] == library
+    assert len(words.encode([])[0]) == 0
+
+
+def thue_morse(n):
+    """Two words that polynomials modulo 2**64 cannot tell apart."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_of_equal_polynomials_stay_apart():
+    a, b = thue_morse(12)
+    _, hashes = textarrays.words([f"{a} {b} {a.upper()}", "x" * 8, "x" * 9, "x" * 8 + " xx"])
+    assert hashes[0] == hashes[2] and len(set(hashes.tolist())) == 5 and hashes[3] == hashes[5]
+    one, two = minhash.shingle_sets([a, b], 1)
+    assert one[0] != two[0]
+    codec = bpe.Codec(bpe.default_ranks())
+    ids, at = codec.encode([a, b, a])
+    assert codec.decode(ids)[0].decode() == a + b + a
+
+
+def test_slices_that_share_a_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(textarrays, "byte_hashes", lambda data, lo, hi: np.zeros(len(lo), np.uint64))
+    data = np.frombuffer(b"abcdabceabcdab", np.uint8)
+    lo, hi = np.array([0, 4, 8, 12, 0]), np.array([4, 8, 12, 14, 2])
+    which, unique = textarrays.distinct_slices(data, lo, hi)
+    assert which[0] == which[2] and which[3] == which[4] and len(unique) == 3
+
+
 def test_parts_of_a_block_decode_alone():
     ids = np.random.default_rng(6).zipf(1.3, 300_000) % 5000
     coder = token_files.Coder(token_files.Frequencies.of_counts(np.bincount(ids)))

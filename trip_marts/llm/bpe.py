@@ -16,13 +16,12 @@ import heapq
 import itertools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from trip_marts.llm.shared import map_texts
-from trip_marts.llm.textarrays import byte_hashes, code_points
+from trip_marts.llm.textarrays import code_points, distinct_slices, ranges
 
 # Symbol classes. A contraction is an apostrophe with s, t, m, d or re, ve, ll behind it.
 LETTER, NUMBER, OTHER, BLANK, SPACE, SHORT, LONG, RESET = range(8)
@@ -229,16 +228,16 @@ class Codec:
         ids = owner = np.zeros(0, np.int64)
         if len(short):
             owner = np.repeat(short, ends[short] - starts[short])
-            ids, owner = self._merge_together(self.byte_id[data[_ranges(starts[short], ends[short])]], owner, len(hashes))
+            ids, owner = self._merge_together(self.byte_id[data[ranges(starts[short], ends[short])]], owner, len(hashes))
             counts += np.bincount(owner, minlength=len(hashes))
         slow = {int(i): self._merge_long(data[starts[i] : ends[i]].tobytes()) for i in long_}
         for i, own in slow.items():
             counts[i] = len(own)
         at = np.concatenate([[0], np.cumsum(counts)])
         out = np.zeros(at[-1], np.int64)
-        out[_ranges(at[:-1][hit], at[1:][hit])] = known_ids[_ranges(known_at[place[hit]], known_at[place[hit] + 1])]
+        out[ranges(at[:-1][hit], at[1:][hit])] = known_ids[ranges(known_at[place[hit]], known_at[place[hit] + 1])]
         if len(short):
-            out[_ranges(at[short], at[short + 1])] = ids
+            out[ranges(at[short], at[short + 1])] = ids
         for i, own in slow.items():
             out[at[i] : at[i + 1]] = own
         if len(known) < _CACHED and len(short):
@@ -247,7 +246,7 @@ class Codec:
             sizes = np.concatenate([np.diff(known_at), counts[short]])
             begin = np.concatenate([known_at[:-1], len(known_ids) + np.concatenate([[0], np.cumsum(counts[short])[:-1]])])
             order = np.argsort(both)
-            arena = np.concatenate([known_ids, ids])[_ranges(begin[order], begin[order] + sizes[order])]
+            arena = np.concatenate([known_ids, ids])[ranges(begin[order], begin[order] + sizes[order])]
             self.cached = (both[order], np.concatenate([[0], np.cumsum(sizes[order])]), arena)
         return out, at
 
@@ -264,7 +263,7 @@ class Codec:
         stops = np.flatnonzero(start | between)
         ends = stops[np.searchsorted(stops, begins, "right")]
         lo, hi = offset[begins], offset[ends]
-        which, unique = self._distinct(data, lo, hi)
+        which, unique = distinct_slices(data, lo, hi)
         order = np.argsort(unique)
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
@@ -272,49 +271,15 @@ class Codec:
         sample = np.empty(len(unique), np.int64)
         sample[which[::-1]] = np.arange(len(which))[::-1]
         ids, at = self._merged(unique[order], lo[sample], hi[sample], data)
-        out = ids[_ranges(at[which], at[which + 1])]
+        out = ids[ranges(at[which], at[which + 1])]
         counts = np.concatenate([[0], np.cumsum(at[which + 1] - at[which])])
         first = np.searchsorted(begins, np.append(text_starts, len(points)))
         return out, counts[first]
 
-    @staticmethod
-    def _distinct(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of every slice among the distinct ones, and the hashes of those.
-
-        Slices of one hash are compared byte by byte with the first of them; should they
-        differ after all, each is given a hash of its own.
-        """
-        hashes = byte_hashes(data, lo, hi)
-        which, unique = pd.factorize(hashes)
-        first = np.full(len(unique), len(which))
-        np.minimum.at(first, which, np.arange(len(which)))
-        one = first[which]
-        size = hi - lo
-        same = size == size[one]
-        check = np.flatnonzero(same & (one != np.arange(len(which))))
-        bytes_at = _ranges(lo[check], hi[check])
-        differ = data[bytes_at] != data[_ranges(lo[one[check]], hi[one[check]])]
-        if differ.any() or not same.all():
-            odd = np.flatnonzero(~same)
-            odd = np.union1d(odd, np.unique(np.repeat(check, size[check])[differ]))
-            for i in odd:
-                digest = hashlib.blake2b(data[lo[i] : hi[i]].tobytes(), digest_size=8).digest()
-                hashes[i] = int.from_bytes(digest, "little")
-            which, unique = pd.factorize(hashes)
-        return which, unique
-
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of the ids, and the byte at which every id begins."""
         lo, hi = self.token_start[ids], self.token_start[ids + 1]
-        return self.token_bytes[_ranges(lo, hi)].tobytes(), np.concatenate([[0], np.cumsum(hi - lo)])
-
-
-def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """lo[0], lo[0] + 1, ... hi[0] - 1, lo[1], ..."""
-    sizes = hi - lo
-    total = int(sizes.sum())
-    shift = np.repeat(lo - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) if total else np.zeros(0, np.int64)
-    return np.arange(total) + shift
+        return self.token_bytes[ranges(lo, hi)].tobytes(), np.concatenate([[0], np.cumsum(hi - lo)])
 
 
 def default_ranks() -> str:

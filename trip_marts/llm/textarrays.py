@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 
 _BASE = 0x9E3779B97F4A7C15
 #: Bytes from which on a slice is hashed by itself.
@@ -89,6 +90,37 @@ def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def distinct_slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of every slice among the distinct ones, and the hashes of those.
+
+    Slices of one hash are compared byte by byte with the first of them; should they
+    differ after all, each is given another hash of its own.
+    """
+    hashes = byte_hashes(data, lo, hi)
+    which, unique = pd.factorize(hashes)
+    first = np.full(len(unique), len(which))
+    np.minimum.at(first, which, np.arange(len(which)))
+    one = first[which]
+    size = hi - lo
+    same = size == size[one]
+    check = np.flatnonzero(same & (one != np.arange(len(which))))
+    differ = data[ranges(lo[check], hi[check])] != data[ranges(lo[one[check]], hi[one[check]])]
+    if differ.any() or not same.all():
+        for i in np.union1d(np.flatnonzero(~same), np.unique(np.repeat(check, size[check])[differ])):
+            digest = hashlib.blake2b(data[lo[i] : hi[i]].tobytes(), digest_size=8).digest()
+            hashes[i] = int.from_bytes(digest, "little")
+        which, unique = pd.factorize(hashes)
+    return which, unique
+
+
+def ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... hi[0] - 1, lo[1], ..."""
+    sizes = hi - lo
+    total = int(sizes.sum())
+    shift = np.repeat(lo - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) if total else np.zeros(0, np.int64)
+    return np.arange(total) + shift
+
+
 def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, a line feed after each, and where each starts."""
     encoded = [t.encode() for t in texts]
@@ -98,16 +130,19 @@ def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return data, starts
 
 
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of bytes other than space and 0x09-0x0D begin and end; `data` ends with a blank."""
+    edge = np.diff(_SPACE[data].astype(np.int8), prepend=1)
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Text number and hash of every word, in order.
 
     Words are runs of bytes other than space and 0x09-0x0D, A-Z in lower case.
     """
     data, text_starts = joined(texts)
-    blank = _SPACE[data]
-    edge = np.diff(blank.astype(np.int8), prepend=1)
-    starts = np.flatnonzero(edge == -1)
-    ends = np.flatnonzero(edge == 1)
+    starts, ends = word_places(data)
     if len(starts) == 0:
         return np.zeros(0, np.int64), np.zeros(0, _U)
     hashes = byte_hashes(LOWER[data], starts, ends)

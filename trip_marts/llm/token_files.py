@@ -8,7 +8,7 @@ in the stream every `CHECK_STEPS` steps, so parts of it can be decoded side by s
 Every block has a CRC-32 of its words and one of its ids.
 
 A file is Parquet with one row for each block, written by Spark, which also takes
-care of lost and repeated tasks. Files are in ascending order of `doc_id`: `part`
+care of lost and repeated tasks; the table lies beside them with a checksum. Files are in ascending order of `doc_id`: `part`
 numbers ranges of ids, `block` the blocks in a range, `before` counts the range's
 ids before a block.
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import itertools
 import os
-import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,10 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trip_marts.llm.shared import drop_saved, map_texts, saved
+from trip_marts.llm.shared import drop_saved, map_texts, saved, shared_root
+from trip_marts.llm.textarrays import LOWER, byte_hashes, distinct_slices, joined, ranges, word_places
 
 LANES = 1024
 BLOCK_TOKENS = 1 << 18
@@ -41,6 +42,8 @@ FILE_SCHEMA = (
     " states binary, check_words array<long>, words_crc long, ids_crc long"
 )
 
+TABLE_SCHEMA = "id long, part long, crc long"
+
 
 @dataclass
 class Frequencies:
@@ -120,56 +123,119 @@ class Coder:
         return out
 
 
+class KnownWords:
+    """Ids of words by their hashes, as sorted arrays of some 40 bytes a word."""
+
+    def __init__(self, hashes: np.ndarray, checks: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, np.int64)
+        order = np.argsort(hashes)
+        self.hashes, self.checks, self.sizes, self.begins, self.ids = hashes[order], checks[order], sizes[order], begins[order], ids
+
+    @classmethod
+    def none(cls) -> KnownWords:
+        return cls(np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, "<u4"))
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of every word, and whether it is known at all."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, (self.hashes[at] == hashes) & (self.checks[at] == checks)
+
+    def ids_at(self, at: np.ndarray) -> np.ndarray:
+        return self.ids[ranges(self.begins[at], self.begins[at] + self.sizes[at])]
+
+    def joined(self, other: KnownWords) -> KnownWords:
+        """Both; a word is in one of them only."""
+        pairs = [(getattr(self, n), getattr(other, n)) for n in ("hashes", "checks", "sizes")]
+        every = [self.ids_at(np.arange(len(self.hashes))), other.ids_at(np.arange(len(other.hashes)))]
+        return KnownWords(*[np.concatenate(p) for p in pairs], np.concatenate(every))
+
+
 class WordTokenizer:
     """A tokenizer of the tokenizers library that encodes every distinct word once.
 
     For a vocabulary whose pre-tokenizer drops white space, no token, and nothing that
-    decides on one, reaches across a space or line feed. So texts are cut there, and
-    ids of words are kept in a bounded cache. A full stop or comma behind a letter is
-    a token of its own, and case is folded, so such forms of a word share its ids.
+    decides on one, reaches across white space. So texts are cut there, A-Z are folded, which
+    the vocabulary's own normaliser does too, and ids of words are kept in a bounded cache. A full
+    stop or comma that ends a word behind a letter a-z is a token of its own. Words with `<`,
+    which may hold the text of a special token, are left as they are.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 1 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.most = most
-        self.known: dict[str, bytes] = {}
-        self._ask(["", ".", ","])
-
-    def _ask(self, words: list[str]) -> None:
-        for word, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-            ids = e.ids
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, as little-endian unsigned 32-bit integers."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set(itertools.chain.from_iterable(cut))
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            self._ask(["", ".", ","])
-            new = list(words)
-        stems = {w: _stem(w) for w in new}
-        self._ask([w for w in {stem for stem, _ in stems.values()} if w not in self.known])
-        for word, (stem, mark) in stems.items():
-            self.known[word] = self.known[stem] + self.known[mark]
-        return [b"".join(map(self.known.__getitem__, own)) for own in cut]
-
-
-def _stem(word: str) -> tuple[str, str]:
-    """A word in lower case, and the full stop or comma behind it.
-
-    Only Latin letters are folded, whose lower case needs no context, and nothing
-    that may hold the text of a special token.
-    """
-    mark = ""
-    if word[-1:] in (".", ",") and word[-2:-1].isalpha():
-        word, mark = word[:-1], word[-1]
-    plain = (word.isascii() or max(word) < "\u0250") and "<" not in word
-    return (word.lower() if plain else word), mark
+        self.known, self.recent = KnownWords.none(), KnownWords.none()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and where each text's begin (n + 1 places)."""
+        data, text_starts = joined(texts)
+        lo, hi = _pieces(data)
+        folded = LOWER[data]
+        for i in _holding(lo, hi, np.flatnonzero(data == 0x3C)):
+            folded[lo[i] : hi[i]] = data[lo[i] : hi[i]]
+        if not len(lo):
+            return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        which, hashes = distinct_slices(folded, lo, hi)
+        sample = np.empty(len(hashes), np.int64)
+        sample[which[::-1]] = np.arange(len(which))[::-1]
+        own, at = self._ids(hashes, folded, lo[sample], hi[sample])
+        out = own[ranges(at[which], at[which + 1])]
+        counts = np.concatenate([[0], np.cumsum(at[which + 1] - at[which])])
+        return out, counts[np.searchsorted(lo, np.append(text_starts, len(data)))]
+
+    def _ids(self, hashes: np.ndarray, data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words in order, and where each word's begin."""
+        checks = byte_hashes(data, np.maximum(lo, hi - 8), hi) ^ (hi - lo).astype(_U)
+        places = [known.find(hashes, checks) for known in (self.known, self.recent)]
+        sizes = np.zeros(len(hashes), np.int64)
+        for known, (at, hit) in zip((self.known, self.recent), places):
+            sizes[hit] = known.sizes[at[hit]]
+        miss = np.flatnonzero(~places[0][1] & ~places[1][1])
+        raw = data.tobytes()
+        asked = self.library.encode_batch_fast([raw[lo[i] : hi[i]].decode() for i in miss], add_special_tokens=False)
+        found = [e.ids for e in asked]
+        sizes[miss] = [len(f) for f in found]
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.zeros(begin[-1], "<u4")
+        for known, (at, hit) in zip((self.known, self.recent), places):
+            out[ranges(begin[:-1][hit], begin[1:][hit])] = known.ids_at(at[hit])
+        new = np.array(list(itertools.chain.from_iterable(found)), "<u4")
+        out[ranges(begin[miss], begin[miss + 1])] = new
+        self._keep(KnownWords(hashes[miss], checks[miss], sizes[miss], new))
+        return out, begin
+
+    def _keep(self, new: KnownWords) -> None:
+        """Add words; the large sorted arrays are merged with an eighth of their size at once."""
+        self.recent = self.recent.joined(new)
+        if len(self.recent.hashes) * 8 < len(self.known.hashes) + (1 << 16):
+            return
+        if len(self.known.hashes) + len(self.recent.hashes) > self.most:
+            self.known = KnownWords.none()  # words still in use come back with the next batches
+        self.known, self.recent = self.known.joined(self.recent), KnownWords.none()
+
+
+def _pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words, full stops and commas cut off behind a-z."""
+    lo, hi = word_places(data)
+    last = data[hi - 1]
+    before = LOWER[data[np.maximum(hi - 2, lo)]]
+    cut = ((last == 0x2E) | (last == 0x2C)) & (hi - lo > 1) & (before >= 0x61) & (before <= 0x7A)
+    cut[_holding(lo, hi, np.flatnonzero(data == 0x3C))] = False
+    second = np.repeat(cut, cut + 1)
+    second[np.flatnonzero(second)[::2]] = False  # of the two halves of a cut word, the second
+    first = np.repeat(cut, cut + 1) & ~second
+    lo, hi = np.repeat(lo, cut + 1), np.repeat(hi, cut + 1)
+    return np.where(second, hi - 1, lo), np.where(first, hi - 1, hi)
+
+
+def _holding(lo: np.ndarray, hi: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Numbers of the slices that hold at least one of the places."""
+    at = np.searchsorted(lo, places, "right") - 1
+    return np.unique(at[(at >= 0) & (places < hi[np.maximum(at, 0)])])
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -187,12 +253,12 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
 
     `ids` are packed, see `unpacked`.
     """
-    end = np.array([end_id], "<u4").tobytes()
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
         packer = zstandard.ZstdCompressor(level=1)
-        raw = [np.frombuffer(ids + end, "<u4") for ids in _tokenizer(tokenizer).encode(texts)]
-        return {"doc_id": batch.column(0), "ids": [packed(ids, packer) for ids in raw]}
+        ids, at = _tokenizer(tokenizer).encode(texts)
+        raw = [np.append(ids[a:b], np.uint32(end_id)) for a, b in itertools.pairwise(at)]
+        return {"doc_id": batch.column(0), "ids": [packed(own, packer) for own in raw]}
 
     return map_texts(docs.select("doc_id", "text"), "doc_id long, ids binary", each)
 
@@ -230,10 +296,10 @@ def frequencies(encoded: DataFrame) -> Frequencies:
     return Frequencies.of_counts(counts)
 
 
-def blocks(encoded: DataFrame, table: Frequencies, ranges: int) -> DataFrame:
+def blocks(encoded: DataFrame, table: Frequencies, tasks: int) -> DataFrame:
     """Rows of the files: encoded blocks in ascending order of `doc_id`.
 
-    Ids are ordered by range partitions, nulls first; equal ids by their tokens.
+    Ids are ordered by range partitions, nulls first; equal ids by a hash of their tokens.
     """
     held = encoded.sparkSession.sparkContext.broadcast(table)  # one number for each symbol
 
@@ -264,28 +330,38 @@ def blocks(encoded: DataFrame, table: Frequencies, ranges: int) -> DataFrame:
         if docs:
             yield pa.RecordBatch.from_pylist([block(coder, part, number, before, docs)], schema)
 
-    ordered = encoded.repartitionByRange(ranges, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # ranges are sampled at the driver, so they go by a hash of the ids and not the ids themselves
+    keys = ["doc_id", F.xxhash64("ids")]
+    ordered = encoded.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, FILE_SCHEMA)
 
 
-def read_back(files: DataFrame, table: Frequencies) -> DataFrame:
-    """Every document of the files: `doc_id`, `start`, `n_tokens`, `ids`.
+def _block_ids(coder: Coder, row: dict, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Ids of a block from checkpoint `first` up to `last`; a block whose checksums don't fit raises."""
+    if zlib.crc32(row["words"]) != row["words_crc"]:
+        raise ValueError(f"damaged words in part {row['part']}, block {row['block']}")
+    ids = coder.decode(row["words"], row["states"], row["check_words"], row["n_tokens"], first, last).astype("<u4")
+    if (first, last) == (0, None) and zlib.crc32(ids.tobytes()) != row["ids_crc"]:
+        raise ValueError(f"wrong ids in part {row['part']}, block {row['block']}")
+    return ids
+
 
-    A block whose checksums don't fit ends the job.
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """Every document of the files below `path`: `doc_id`, `start`, `n_tokens`, `ids`.
+
+    The files are all that is needed. A block whose checksums don't fit ends the job.
     """
-    held = files.sparkSession.sparkContext.broadcast(table)
+    held = spark.sparkContext.broadcast(read_table(spark, path))
+    files = spark.read.schema(FILE_SCHEMA).parquet(f"{path}/blocks")
     totals = {r.part: r.n for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
     before = dict(zip(sorted(totals), itertools.accumulate([totals[p] for p in sorted(totals)][:-1], initial=0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(held.value)
         for batch in batches:
-            for row in batch.to_pylist():
-                if zlib.crc32(row["words"]) != row["words_crc"]:
-                    raise ValueError(f"damaged words in part {row['part']}, block {row['block']}")
-                ids = coder.decode(row["words"], row["states"], row["check_words"], row["n_tokens"]).astype("<u4")
-                if zlib.crc32(ids.tobytes()) != row["ids_crc"]:
-                    raise ValueError(f"wrong ids in part {row['part']}, block {row['block']}")
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                ids = _block_ids(coder, row)
                 edges = np.concatenate([[0], np.cumsum(row["doc_tokens"])])
                 start = before[row["part"]] + row["before"] + edges[:-1]
                 own = [ids[a:b].tobytes() for a, b in itertools.pairwise(edges)]
@@ -295,30 +371,81 @@ def read_back(files: DataFrame, table: Frequencies) -> DataFrame:
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def write_files(docs: DataFrame, tokenizer: str, end_id: int = 1) -> tuple[DataFrame, Frequencies]:
-    """Files of all documents below the shared folder, and their frequency table.
+def read_some(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """`doc_id` and `ids` of some documents, decoding from the checkpoint before each of them.
 
-    Null or empty texts have the end id only; rows that repeat are written each;
-    other columns are ignored; an empty table gives no blocks.
+    Blocks without any of them are not decoded. Ids that no document has give no row.
     """
+    held = spark.sparkContext.broadcast((read_table(spark, path), frozenset(doc_ids)))
+    wanted = F.arrays_overlap("doc_ids", F.array(*[F.lit(i).cast("long") for i in doc_ids]).cast("array<long>"))
+    files = spark.read.schema(FILE_SCHEMA).parquet(f"{path}/blocks").where(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, sought, size = Coder(held.value[0]), held.value[1], CHECK_STEPS * LANES
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                edges = np.concatenate([[0], np.cumsum(row["doc_tokens"])]).tolist()
+                for doc, lo, hi in zip(row["doc_ids"], edges, edges[1:]):
+                    if doc in sought:
+                        first = lo // size
+                        ids = _block_ids(coder, row, first, -(-hi // size))
+                        own = ids[lo - first * size : hi - first * size].tobytes()
+                        yield pa.record_batch([pa.array([doc], pa.int64()), pa.array([own])], names=["doc_id", "ids"])
+
+    return files.mapInArrow(run, "doc_id long, ids binary")
+
+
+def _table_crc(table: Frequencies) -> int:
+    return zlib.crc32(table.parts.astype("<i8").tobytes())
+
+
+def read_table(spark: SparkSession, path: str) -> Frequencies:
+    """The frequency table that lies beside the blocks; its checksum must fit."""
+    rows = spark.read.schema(TABLE_SCHEMA).parquet(f"{path}/table").collect()  # one row for each symbol
+    parts = np.zeros(max((r.id for r in rows), default=0) + 1, np.int64)
+    for r in rows:
+        parts[r.id] = r.part
+    table = Frequencies(parts)
+    if any(r.crc != _table_crc(table) for r in rows):
+        raise ValueError(f"damaged frequency table below {path}")
+    return table
+
+
+def write_files(docs: DataFrame, tokenizer: str, end_id: int = 1) -> str:
+    """Files of all documents below the shared folder; returns their path.
+
+    `blocks` has the coded ids, `table` the frequencies they are decoded with. Null or empty
+    texts have the end id only; rows that repeat are written each; other columns are
+    ignored; an empty table gives no blocks.
+    """
+    spark = docs.sparkSession
+    path = f"{shared_root(spark)}/token-files-{uuid.uuid4().hex}"
     encoded = saved(tokenize(docs, tokenizer, end_id), "ids")
     table = frequencies(encoded)
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    files = saved(blocks(encoded, table, ranges), "token-files")
+    used = np.flatnonzero(table.parts)
+    crc = _table_crc(Frequencies(table.parts[: used[-1] + 1 if len(used) else 1]))
+    rows = [(int(i), int(table.parts[i]), crc) for i in used]
+    spark.createDataFrame(rows, TABLE_SCHEMA).coalesce(1).write.parquet(f"{path}/table")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks(encoded, table, tasks).write.parquet(f"{path}/blocks")
     drop_saved(encoded)
-    return files, table
+    return path
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """Digest of what is read back from the files: one row for each document."""
-    files, table = write_files(docs, tokenizer, end_id)
+    """Digest of what is read back from the files: one row for each document.
+
+    Odd rows are written as in `write_files` and come back as they were written.
+    """
+    path = write_files(docs, tokenizer, end_id)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             crc = [zlib.crc32(x.as_buffer()) for x in batch.column("ids")]
             yield pa.record_batch([*batch.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_back(files, table).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_back(docs.sparkSession, path).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def default_tokenizer() -> str:
