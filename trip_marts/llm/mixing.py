@@ -2,15 +2,15 @@
 
 A softmax classifier trained on documents with a domain label gives every document
 probabilities of the domains. Each document's rate says how often it is expected
-in the mixture; rates are nonnegative, bring the expected tokens of each domain to its
-target, and stay as near to 1 as that allows, in squares weighted by tokens. Such rates
-are one minus the document's probabilities times a price for each domain, projected onto
-the numbers from 0. The prices minimise a convex function; Newton steps take its curvature
-from the documents whose rate is positive, with a line search.
-
-A rate follows from the document's own row and the prices. So no state is kept in
-between: each round is one pass over a compact table that adds up a few numbers for all
-step lengths of the line search, and a lost task is repeated.
+in the mixture. Rates start at 1 and take steps of projected gradient on a least-squares problem: the
+squared differences between the expected token shares of the domains and their targets. A
+step moves every rate against its gradient, the document's probabilities times the weighted
+differences, and projects it onto the numbers from 0. The weights and the step come from
+the curvature of the documents whose rate is positive, and a line search picks the length.
+
+A rate follows from the document's own row and the steps so far, a few numbers each. So no
+state is kept in between: each round is one pass over a compact table that adds up a few
+numbers for all lengths of the line search, and a lost task is repeated.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ class Mixing:
     """`sample`: labelled documents that train the classifier, by hash.
 
     Every domain gives as many, `sample` divided by the number of domains but `least`
-    at least, or all of its documents. `rounds` only ends what doesn't converge; `slack` bounds the prices where targets
-    cannot be met.
+    at least, or all of its documents. `rounds` only ends what doesn't converge; where no step of the line search
+    lowers the differences any more, targets cannot be met any better.
     """
 
     domain: str = "lang"
@@ -47,7 +47,6 @@ class Mixing:
     least: int = 50
     rounds: int = 200
     tolerance: float = 1e-3
-    slack: float = 1e-7
 
 
 @dataclass
@@ -142,25 +141,33 @@ def _limits(keys: DataFrame, sizes: dict[str, int], wanted: int) -> dict[str, in
 
 @dataclass
 class Plan:
-    """What gives every document its rate: classifier and prices.
+    """What gives every document its rate: classifier and steps of projected gradient.
 
     `residual` is the largest difference between a share of the expected tokens and
     its target; `met` says whether it is within the tolerance.
     """
 
     classifier: Classifier
-    prices: np.ndarray
+    steps: list[np.ndarray]
     shares: np.ndarray
     targets: np.ndarray
     residual: float = 0.0
     met: bool = True
 
     def rates(self, tokens: np.ndarray, posteriors: np.ndarray) -> np.ndarray:
-        return np.where(tokens > 0, np.maximum(0, 1 - posteriors @ self.prices), 1.0)
+        return np.where(tokens > 0, stepped(posteriors, self.steps), 1.0)
+
+
+def stepped(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
+    """Rates after some steps, from 1 on."""
+    rate = np.ones(len(posteriors))
+    for step in steps:
+        rate = np.maximum(0, rate - posteriors @ step)
+    return rate
 
 
 #: Step lengths that one pass tries.
-STEPS = 0.25 ** np.arange(8)
+STEPS = np.append([4.0, 2.0, 1.5], 0.5 ** np.arange(7))
 
 
 def token_counts(texts: list[str]) -> np.ndarray:
@@ -191,7 +198,7 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(rows: DataFrame, classifier: Classifier, how: Mixing) -> Plan:
-    """Prices that bring the expected token totals of `rows` to the targets.
+    """Steps that bring the expected token totals of `rows` to the targets.
 
     Domains without a target keep their share; targets of absent domains are left
     out and the rest is scaled to the present number of tokens. Targets that cannot
@@ -201,48 +208,52 @@ def fit(rows: DataFrame, classifier: Classifier, how: Mixing) -> Plan:
     k = len(classifier.domains)
     total = rows.agg(F.sum("n_tokens")).collect()[0][0]
     if not total:
-        return Plan(classifier, np.zeros(k), np.zeros(k), np.zeros(k))
+        return Plan(classifier, [], np.zeros(k), np.zeros(k))
+    steps: list[np.ndarray] = []
 
-    def added(prices: np.ndarray) -> np.ndarray:
-        """For each row of `prices`: half the sum of squared rates, expected shares, curvature."""
+    def added(tried: np.ndarray) -> np.ndarray:
+        """For each further step in `tried`: expected shares, and curvature at the rates it leads to."""
 
         def run(batches):
-            sums = np.zeros((len(prices), 1 + k + k * k))
+            sums = np.zeros((len(tried), k + k * k))
             for batch in batches:
                 tokens, soft = _columns(batch)
                 weight = tokens / total
-                for at, price in zip(sums, prices):
-                    rate = np.maximum(0, 1 - soft @ price)
+                before = stepped(soft, steps)
+                for at, step in zip(sums, tried):
+                    rate = np.maximum(0, before - soft @ step)
                     active = soft * (weight * (rate > 0))[:, None]
-                    at += np.concatenate([[weight @ rate**2 / 2], (weight * rate) @ soft, (soft.T @ active).ravel()])
+                    at += np.concatenate([(weight * rate) @ soft, (soft.T @ active).ravel()])
             yield pa.record_batch([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], names=["i", "x"])
 
         sums = rows.select("n_tokens", "posteriors").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x"))
-        return np.array([r.x for r in sorted(sums.collect(), key=lambda r: r.i)]).reshape(len(prices), -1)
+        return np.array([r.x for r in sorted(sums.collect(), key=lambda r: r.i)]).reshape(len(tried), -1)
 
-    prices, found = np.zeros(k), added(np.zeros((1, k)))[0]
-    shares = found[1 : 1 + k]
+    found = added(np.zeros((1, k)))[0]
+    shares = found[:k]
     wanted = np.array([how.targets.get(d, s) for d, s in zip(classifier.domains, shares)])
     wanted = wanted / wanted.sum() if wanted.sum() else shares
-    value = found[0]
     for _ in range(how.rounds):
-        slope = wanted - found[1 : 1 + k] + how.slack * prices
-        if np.abs(slope).max() <= how.tolerance * wanted.max() / 10:
+        apart = found[:k] - wanted
+        if np.abs(apart).max() <= how.tolerance * wanted.max() / 10:
             break
-        curvature = found[1 + k :].reshape(k, k) + (how.slack + 1e-12) * np.eye(k)
-        tried = prices - STEPS[:, None] * np.linalg.solve(curvature, slope)
+        curvature = found[k:].reshape(k, k) + 1e-9 * np.eye(k)
+        # the gradient of a rate is its probabilities times this; a step of 1 would be exact without the projection
+        tried = STEPS[:, None] * np.linalg.solve(curvature, apart)
         sums = added(tried)
-        values = sums[:, 0] + tried @ wanted + how.slack / 2 * (tried**2).sum(axis=1)
+        left = (sums[:, :k] - wanted) @ np.linalg.inv(curvature)
+        values = (left * (sums[:, :k] - wanted)).sum(axis=1)
         best = int(np.argmin(values))
-        if values[best] >= value + prices @ wanted + how.slack / 2 * prices @ prices:
-            break  # as near as doubles get
-        prices, found, value = tried[best], sums[best], sums[best, 0]
-    residual = float(np.abs(found[1 : 1 + k] - wanted).max())
+        if values[best] >= apart @ np.linalg.solve(curvature, apart) * (1 - 1e-6):
+            break  # no step brings the totals nearer
+        steps.append(tried[best])
+        found = sums[best]
+    residual = float(np.abs(found[:k] - wanted).max())
     met = residual <= how.tolerance * wanted.max()
     if not met:
-        shown = ", ".join(f"{d} {e:.4f} for {w:.4f}" for d, e, w in zip(classifier.domains, found[1:], wanted))
+        shown = ", ".join(f"{d} {e:.4f} for {w:.4f}" for d, e, w in zip(classifier.domains, found, wanted))
         warnings.warn(f"targets cannot be met, the largest difference is {residual:.4f}: {shown}", stacklevel=2)
-    return Plan(classifier, prices, shares, wanted, residual, met)
+    return Plan(classifier, steps, shares, wanted, residual, met)
 
 
 def rates(docs: DataFrame, how: Mixing = Mixing()) -> DataFrame:

@@ -9,9 +9,10 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-#: Code points of text that are turned into arrays at once; a longer text comes alone.
+#: Bytes of text that are turned into arrays at once; a longer text comes alone.
 PIECE_CHARS = 1 << 19
 #: Texts that are, so that many short ones stay small too.
 PIECE_ROWS = 1024
@@ -60,16 +61,21 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Runs of at most `PIECE_ROWS` rows with at most `PIECE_CHARS` of text, or one row."""
-    texts = texts_of(batch, column)
+    """Runs of at most `PIECE_ROWS` rows with at most `PIECE_CHARS` bytes of text, or one row.
+
+    Only one run's texts are Python strings at a time.
+    """
+    whole = batch.column(batch.schema.get_field_index(column))
     lo, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and (size + len(text) > PIECE_CHARS or i - lo == PIECE_ROWS):
-            yield batch.slice(lo, i - lo), texts[lo:i]
+    for i, length in enumerate(pc.fill_null(pc.binary_length(whole), 0).to_pylist()):
+        if size and (size + length > PIECE_CHARS or i - lo == PIECE_ROWS):
+            piece = batch.slice(lo, i - lo)
+            yield piece, texts_of(piece, column)
             lo, size = i, 0
-        size += len(text) + 1
-    if lo < len(texts):
-        yield batch.slice(lo), texts[lo:]
+        size += length + 1
+    if lo < batch.num_rows:
+        piece = batch.slice(lo)
+        yield piece, texts_of(piece, column)
 
 
 def map_texts(

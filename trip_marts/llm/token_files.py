@@ -42,6 +42,8 @@ FILE_SCHEMA = (
     " states binary, check_words array<long>, words_crc long, ids_crc long"
 )
 
+#: New words given to the library at once.
+ASKED = 1024
 TABLE_SCHEMA = "id long, part long, crc long"
 
 
@@ -162,7 +164,7 @@ class WordTokenizer:
     which may hold the text of a special token, are left as they are.
     """
 
-    def __init__(self, path: str, most: int = 1 << 20) -> None:
+    def __init__(self, path: str, most: int = 1 << 19) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -195,9 +197,10 @@ class WordTokenizer:
         for known, (at, hit) in zip((self.known, self.recent), places):
             sizes[hit] = known.sizes[at[hit]]
         miss = np.flatnonzero(~places[0][1] & ~places[1][1])
-        raw = data.tobytes()
-        asked = self.library.encode_batch_fast([raw[lo[i] : hi[i]].decode() for i in miss], add_special_tokens=False)
-        found = [e.ids for e in asked]
+        raw, found = data.tobytes(), []
+        for some in itertools.batched(miss.tolist(), ASKED):
+            asked = self.library.encode_batch_fast([raw[lo[i] : hi[i]].decode() for i in some], add_special_tokens=False)
+            found += [e.ids for e in asked]
         sizes[miss] = [len(f) for f in found]
         begin = np.concatenate([[0], np.cumsum(sizes)])
         out = np.zeros(begin[-1], "<u4")
