@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,25 +90,28 @@ def band_keys(rows: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _class_of(s: np.ndarray) -> int | None:
+def _key_of(s: np.ndarray) -> tuple[int | None, int | None]:
+    """128 bits that tell sets apart; none for an empty set."""
     if len(s) == 0:
-        return None
-    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+        return None, None
+    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
         sets = shingle_sets(texts, width)
-        keys = band_keys(sketch(sets))
+        bands, keys = band_keys(sketch(sets)), [_key_of(s) for s in sets]
         return {
             "doc_id": batch.column(0),
             "text_key": batch.column(2),
             "n_shingles": [len(s) for s in sets],
-            "cls": [_class_of(s) for s in sets],
-            "bands": [k if len(s) else None for k, s in zip(keys, sets)],
+            "k1": [k for k, _ in keys],
+            "k2": [k for _, k in keys],
+            "bands": [k if len(s) else None for k, s in zip(bands, sets)],
         }
 
-    schema = "doc_id long, text_key long, n_shingles long, cls long, bands array<long>"
+    schema = "doc_id long, text_key long, n_shingles long, k1 long, k2 long, bands array<long>"
     return map_texts(docs.select("doc_id", "text", text_key().alias("text_key")), schema, each)
 
 
@@ -122,7 +124,7 @@ def _bit_of() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
 
 
-def _needed_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
+def _needed_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """`(cls, items)` of the classes in `members`; a few others may be there too.
 
     Documents are picked in the scan by a bit filter of fixed size, so their texts
@@ -144,10 +146,12 @@ def _needed_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
         sets = [s for s in shingle_sets(texts, width) if len(s)]
-        return {"cls": [_class_of(s) for s in sets], "items": [s.tobytes() for s in sets]}
+        keys = [_key_of(s) for s in sets]
+        return {"k1": [k for k, _ in keys], "k2": [k for _, k in keys], "items": [s.tobytes() for s in sets]}
 
     picked = docs.select("text", _bit_of().alias("bit")).mapInArrow(pick, "text string, bit long")
-    return map_texts(picked, "cls long, items binary", each).dropDuplicates(["cls"])
+    found = map_texts(picked, "k1 long, k2 long, items binary", each).dropDuplicates(["k1", "k2"])
+    return found.join(classes.select("k1", "k2", "cls"), ["k1", "k2"]).select("cls", "items")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,12 +231,14 @@ def _left_over(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: i
     rows = rows.withColumn("meets", F.explode(_meetings())).select("bucket", "meets.*", "cls", "component")
     rows = rows.join(sets, "cls")
 
-    def block(frame: pd.DataFrame) -> pd.DataFrame:
-        held = [np.frombuffer(x, _U) for x in frame["items"]]
-        links = joining_links(frame["cls"].to_numpy(), frame["component"].to_numpy(), frame["side"].to_numpy(), held, percent)
-        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+    def block(table: pa.Table) -> pa.Table:
+        held = [np.frombuffer(x.as_buffer(), _U) for x in table["items"]]  # in place
+        names, parts, sides = (table[c].to_numpy() for c in ("cls", "component", "side"))
+        links = joining_links(names, parts, sides, held, percent)
+        u, v = [a for a, _ in links], [b for _, b in links]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return rows.groupBy("bucket", "among", "i", "j").applyInPandas(block, "u long, v long")
+    return rows.groupBy("bucket", "among", "i", "j").applyInArrow(block, "u long, v long")
 
 
 def _blocks(members: Column) -> Column:
@@ -271,14 +277,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     are different documents. A null id is smaller than none: the component's id is the
     smallest that is not null. Other columns are ignored; an empty table gives no rows.
     """
-    rows = saved(_sketches(docs, width), "sketches")
-    classes = rows.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    rows = saved(_sketches(docs, width).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # a class is known by the number of its first row
+    classes = rows.where("k1 is not null").groupBy("k1", "k2").agg(
+        F.min("row").alias("cls"), F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
+    classes = saved(classes, "classes")
     banded = classes.select("cls", "doc_id", "n", F.explode("bands").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("cls", "n")).alias("low"), F.max(F.struct("cls", "n")).alias("high"))
     members = saved(banded.join(hubs.where("size > 1"), "bucket"), "members")
-    sets = saved(_needed_sets(docs, members, width), "sets")
+    sets = saved(_needed_sets(docs, members, classes, width), "sets")
     hub = F.explode(F.array("low", "high")).alias("hub")
     stars = members.select("cls", "n", hub).select(F.least("cls", "hub.cls").alias("u"), F.greatest("cls", "hub.cls").alias("v"), "n", F.col("hub.n").alias("hub_n"))
     stars = stars.where(F.col("u") != F.col("v")).where(_similar_size("n", "hub_n", percent)).select("u", "v").distinct()
@@ -291,16 +299,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     drop_saved(members)
     drop_saved(sets)
 
-    label = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    label = classes.select("k1", "k2", "cls", "doc_id")
     label = label.join(first.select(F.col("id").alias("cls"), "component"), "cls", "full")
     label = label.withColumn("component", F.coalesce("component", "cls"))
     label = label.join(second.select(F.col("id").alias("component"), F.col("component").alias("last")), "component", "full")
     label = label.where("cls is not null or last is not null")
-    label = label.select(F.coalesce("cls", "component").alias("cls"), "doc_id", F.coalesce("last", "component").alias("component"))
+    label = label.select("k1", "k2", "doc_id", F.coalesce("last", "component").alias("component"))
     least = label.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    label = label.join(least, "component").select("cls", "component_id")
-    found = rows.drop("bands").join(label, "cls", "left")
-    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    label = label.join(least, "component").select("k1", "k2", "component_id")
+    found = rows.drop("bands", "row").join(label, ["k1", "k2"], "left")
+    component = F.when(F.col("k1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 

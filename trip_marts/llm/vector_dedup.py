@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from trip_marts.llm.components import components
 from trip_marts.llm.shared import saved
@@ -88,8 +89,10 @@ def _placed(classes: DataFrame, join: Join) -> DataFrame:
                         columns = [pa.array(k, t) for k, t in zip(keys, kinds)] + [taken.column("n"), taken.column("embedding")]
                         yield pa.record_batch(columns, names=["size", "b", "place", "rep", "visits", "n", "embedding"])
 
-    schema = "size int, b int, place long, rep long, visits boolean, n long, embedding array<float>"
-    return classes.select("rep", "n", F.col("embedding").cast("array<float>")).mapInArrow(run, schema)
+    # entries keep their precision, as the exact check needs it
+    kind = "array<float>" if classes.schema["embedding"].dataType.elementType == FloatType() else "array<double>"
+    schema = f"size int, b int, place long, rep long, visits boolean, n long, embedding {kind}"
+    return classes.select("rep", "n", F.col("embedding").cast(kind)).mapInArrow(run, schema)
 
 
 def linked(ids: np.ndarray, vectors: np.ndarray, counts: np.ndarray, home: np.ndarray, left: np.ndarray, right: np.ndarray, b: int, join: Join) -> pd.DataFrame:
@@ -103,7 +106,10 @@ def linked(ids: np.ndarray, vectors: np.ndarray, counts: np.ndarray, home: np.nd
     edges, turned = join.edges(size), units @ join.rotation(size)
     budget = join.reach * np.diff(edges) / size + 1e-9
     own = turned[:, edges[b] : edges[b + 1]].astype(np.float32)
-    norms = (own.astype(np.float64) ** 2).sum(axis=1)
+    norms, ones = (own**2).sum(axis=1), np.ones(len(own), np.float32)
+    # one product gives squared distances; its rounding is far below the margin
+    here, there = np.column_stack([-2 * own, norms, ones]), np.column_stack([own, ones, norms]).T
+    most = np.float32(budget[b] + 1e-4)
     added = np.zeros(len(ids), np.int64)
     root = np.arange(len(ids))
 
@@ -124,8 +130,7 @@ def linked(ids: np.ndarray, vectors: np.ndarray, counts: np.ndarray, home: np.nd
         hi = np.searchsorted(order[right], order[x[-1]] + width, "right")
         for j in range(lo, hi, _TILE):
             y = right[j : min(j + _TILE, hi)]
-            near = norms[x][:, None] + norms[y][None, :] - 2 * (own[x] @ own[y].T) <= budget[b] + 1e-4
-            p, q = np.nonzero(near)
+            p, q = np.divmod(np.flatnonzero(here[x] @ there[:, y] <= most), len(y))
             p, q = x[p], y[q]
             fit = home[p] & (~home[q] | (ids[p] < ids[q])) if alone else home[p] | home[q]
             p, q = p[fit], q[fit]
@@ -183,8 +188,7 @@ def near_vectors(vectors: DataFrame, join: Join = Join()) -> DataFrame:
     """
     rows = vectors.select("vec_id", "embedding").withColumn("usable", _usable("embedding"))
     fit = rows.where("usable").groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
-    # numbers of the classes: hashes of the whole vectors, which also settle ties
-    classes = saved(fit.withColumn("rep", F.xxhash64("embedding", F.lit(1))), "vectors")
+    classes = saved(fit.withColumn("rep", F.monotonically_increasing_id()), "vectors")
     met = saved(_meetings(_placed(classes, join), join), "meetings")
     degree = met.groupBy("rep").agg(F.sum("added").alias("others"))
     label = components(met.select(F.col("rep").alias("u"), F.col("partner").alias("v")))
