@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from trip_marts.llm import bpe, minhash, mixing, quality, secret_scan
-from trip_marts.llm.shared import shared_root, ship, table
+from trip_marts.llm.shared import drop_saved, shared_root, ship, table
 
 #: What the stages keep and return; other columns of the input end here.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -71,12 +71,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written below the shared folder."""
+    """All stages over `documents`; each result is written below the shared folder.
+
+    A stage's result is deleted when the next one is written; the last one stays.
+    """
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     root = f"{shared_root(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{root}/{number}"
+        path = f"{root}/stage-{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        if number:
+            drop_saved(docs)
         docs = spark.read.parquet(path)
     return docs
