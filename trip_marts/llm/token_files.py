@@ -132,6 +132,7 @@ class KnownWords:
         begins = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, np.int64)
         order = np.argsort(hashes)
         self.hashes, self.checks, self.sizes, self.begins, self.ids = hashes[order], checks[order], sizes[order], begins[order], ids
+        self.used = np.zeros(len(order), bool)
 
     @classmethod
     def none(cls) -> KnownWords:
@@ -147,6 +148,11 @@ class KnownWords:
     def ids_at(self, at: np.ndarray) -> np.ndarray:
         return self.ids[ranges(self.begins[at], self.begins[at] + self.sizes[at])]
 
+    def still_used(self) -> KnownWords:
+        """The words that were found since these arrays were made."""
+        at = np.flatnonzero(self.used)
+        return KnownWords(self.hashes[at], self.checks[at], self.sizes[at], self.ids_at(at))
+
     def joined(self, other: KnownWords) -> KnownWords:
         """Both; a word is in one of them only."""
         pairs = [(getattr(self, n), getattr(other, n)) for n in ("hashes", "checks", "sizes")]
@@ -164,7 +170,7 @@ class WordTokenizer:
     which may hold the text of a special token, are left as they are.
     """
 
-    def __init__(self, path: str, most: int = 1 << 19) -> None:
+    def __init__(self, path: str, most: int = 3 << 18) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -196,6 +202,7 @@ class WordTokenizer:
         sizes = np.zeros(len(hashes), np.int64)
         for known, (at, hit) in zip((self.known, self.recent), places):
             sizes[hit] = known.sizes[at[hit]]
+            known.used[at[hit]] = True
         miss = np.flatnonzero(~places[0][1] & ~places[1][1])
         raw, found = data.tobytes(), []
         for some in itertools.batched(miss.tolist(), ASKED):
@@ -217,7 +224,9 @@ class WordTokenizer:
         if len(self.recent.hashes) * 8 < len(self.known.hashes) + (1 << 16):
             return
         if len(self.known.hashes) + len(self.recent.hashes) > self.most:
-            self.known = KnownWords.none()  # words still in use come back with the next batches
+            self.known = self.known.still_used()
+        if len(self.known.hashes) + len(self.recent.hashes) > self.most:
+            self.known = KnownWords.none()
         self.known, self.recent = self.known.joined(self.recent), KnownWords.none()
 
 
