@@ -110,6 +110,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: The other operators learn, hash or merge in ways that SQL can't express, or not on
 #: whole tables in reasonable time; tests/llm compares them with brute force.
 ORACLE: dict[str, str] = {
+    # rows are known by their numbers, as ids may be null or repeat
+    "op2_embedding_near_dedup": """
+        WITH RECURSIVE given AS (
+            SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        ),
+        fit AS (
+            SELECT r, CASE WHEN len(v) > 0 AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v)
+                AND len(list_filter(v, lambda x: x <> 0)) > 0 THEN list_transform(v, lambda x: coalesce(x, 0)) END AS v
+            FROM given
+        ),
+        links AS (
+            SELECT a.r AS a, b.r AS b FROM fit AS a JOIN fit AS b ON a.r <> b.r AND len(a.v) = len(b.v)
+            WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))
+                >= 0.9 * sqrt(list_sum(list_transform(a.v, lambda x: x * x)) * list_sum(list_transform(b.v, lambda x: x * x)))
+        ),
+        reached AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT x.a, l.b FROM reached AS x JOIN links AS l ON l.a = x.b
+        )
+        SELECT g.vec_id, (SELECT count(*) FROM links AS l WHERE l.a = g.r) AS n_links,
+            least(g.vec_id, m.least) AS component_id, g.vec_id <= coalesce(m.least, g.vec_id) AS kept
+        FROM given AS g LEFT JOIN (
+            SELECT x.a, min(o.vec_id) AS least FROM reached AS x JOIN given AS o ON o.r = x.b GROUP BY x.a
+        ) AS m ON m.a = g.r
+    """,
+    "op8_minhash_near_dedup": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        sets AS (
+            SELECT doc_id, list_sort(CASE WHEN len(w) < 2 THEN w
+                ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
+            FROM worded
+        ),
+        classes AS (SELECT s, row_number() OVER () AS c, len(s) AS n FROM (SELECT DISTINCT s FROM sets WHERE len(s) > 0)),
+        shingles AS (
+            SELECT c, n, g, row_number() OVER (PARTITION BY c ORDER BY f, g) AS i
+            FROM (SELECT c, n, g, count(*) OVER (PARTITION BY g) AS f FROM (SELECT c, n, unnest(s) AS g FROM classes))
+        ),
+        -- sets that share 0.8 share one of the rarest fifth of their shingles
+        prefixes AS (SELECT c, n, g FROM shingles WHERE i <= n - ceil(0.8 * n) + 1),
+        candidates AS (
+            SELECT DISTINCT a.c AS a, b.c AS b FROM prefixes AS a JOIN prefixes AS b ON a.g = b.g AND a.c < b.c
+            WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+        ),
+        shared AS (
+            SELECT a, b, x.n + y.n AS total, len(list_intersect(x.s, y.s)) AS common
+            FROM candidates JOIN classes AS x ON x.c = a JOIN classes AS y ON y.c = b
+        ),
+        links AS (
+            SELECT a, b FROM shared WHERE 100 * common >= 80 * (total - common)
+            UNION ALL SELECT b, a FROM shared WHERE 100 * common >= 80 * (total - common)
+        ),
+        reached AS (
+            SELECT c AS a, c AS b FROM classes
+            UNION
+            SELECT x.a, l.b FROM reached AS x JOIN links AS l ON l.a = x.b
+        ),
+        firsts AS (SELECT c, min(doc_id) AS least FROM sets JOIN classes USING (s) GROUP BY c),
+        named AS (SELECT x.a AS c, min(least) AS component_id FROM reached AS x JOIN firsts AS f ON f.c = x.b GROUP BY x.a)
+        SELECT doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+            coalesce(component_id, doc_id) = doc_id AS kept
+        FROM sets LEFT JOIN classes USING (s) LEFT JOIN named USING (c)
+    """,
     "op11_exact_dedup": r"""
         SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
             count(*) OVER (PARTITION BY sha) AS group_size,
