@@ -328,8 +328,26 @@ def test_deobfuscation():
     points = toxicity.symbol(np.array([ord(c) for c in s]))
     grams = (points[:-2] * 64 + points[1:-1]) * 64 + points[2:]
     restorer = toxicity.Restorer(toxicity.Language.of_counts(np.bincount(grams, minlength=64**3)))
-    given = ["you 1d10t", "i d i o t", "such a m0r0n!!", "w-o-r-t-h-l-e-s-s", "looooser", "fine words, 5 of them", ""]
-    assert restorer.restore(given) == ["you idiot", "idiot", "such a moron!!", "worthless", "loser", "fine words, 5 of them", ""]
+    read = {
+        "you 1d10t": "you idiot", "i d i o t": "idiot", "such a m0r0n!!": "such a moron!!", "w-o-r-t-h-l-e-s-s": "worthless",
+        "looooser": "loser", "fine words, 5 of them": "fine words, 5 of them", "": "", "you idi0+": "you idiot", "tra5#": "trash",
+        "idio+ and mor0n.": "idiot and moron.", "i  d  i  o  t": "idiot", "i d i o t, you": "idiot, you", "an i. d. i. o. t!": "an idiot!",
+        "rows 1 2 3 and 5 - 3 - 1": "rows 1 2 3 and 5 - 3 - 1",
+    }
+    assert dict(zip(read, restorer.restore(list(read)))) == read
+    rng = np.random.default_rng(6)
+    for n in range(300):
+        text = "".join(rng.choice(list("idtors105$+!  .-aa"), rng.integers(1, 8)))
+        # every place at which the pattern matches is found beforehand
+        assert restorer.restore([f"{text} x", text]) == [toxicity.SUSPICIOUS.sub(restorer._replaced, s) for s in (f"{text} x", text)]
+        gaps = toxicity._ALL_SPACED.fullmatch(text) is not None
+        costs: dict = {}
+        for path in itertools.product(*(restorer.options(text, i, gaps) for i in range(len(text)))):
+            reading = "".join(c for c, _ in path)
+            symbols = [0, 0, *map(toxicity._symbol_of, reading), 0]
+            cost = sum(c for _, c in path) + sum(float(restorer.costs[a, b, c]) for a, b, c in zip(symbols, symbols[1:], symbols[2:]))
+            costs[reading] = min(cost, costs.get(reading, np.inf))
+        assert costs[restorer.decode(text)] <= min(costs.values()) + 1e-6, text
 
 
 def test_long_stretches_are_decoded():

@@ -32,14 +32,20 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y", "#": "h",
 }
 _SYMBOLS = "".join(map(re.escape, LEET))
+#: Signs that may end a word; `!`, `|` and `(` behind a word are punctuation.
+ENDINGS = "0123456789@$+#€£¥"
+_LETTER = rf"(?:[^\W\d_]|[{_SYMBOLS}])"
+_SPACED = rf"{_LETTER}(?:[ .\-_*]{{1,3}}{_LETTER}){{2,}}"
 #: Costs in nats of leaving the plain path.
 LEET_COST, REPEAT_COST, GAP_COST, KEEP_COST = 1.0, 0.5, 0.3, 6.0
-#: Letters between stray separators, letters mixed with leetspeak, letters repeated.
+#: Letters between up to three stray separators, letters mixed with leetspeak or before it, letters repeated.
 SUSPICIOUS = re.compile(
-    rf"(?<!\w)(?:[^\W\d_]|[{_SYMBOLS}])(?:[ .\-_*](?:[^\W\d_]|[{_SYMBOLS}])){{2,}}(?!\w)"
-    rf"|[^\W_]*(?:[^\W\d_][{_SYMBOLS}]+|[{_SYMBOLS}]+)[^\W\d_](?:\w|[{_SYMBOLS}](?=[{_SYMBOLS}]*\w))*"
+    rf"(?<!\w){_SPACED}(?!\w)"
+    rf"|[^\W_]*(?:[^\W\d_][{_SYMBOLS}]+|[{_SYMBOLS}]+)[^\W\d_](?:\w|[{_SYMBOLS}](?=[{_SYMBOLS}]*\w))*[{re.escape(ENDINGS)}]*"
+    rf"|[^\W_]*[^\W\d_][{re.escape(ENDINGS)}]+(?!\w)"
     r"|\w*([^\W\d_])\1{2,}\w*"
 )
+_ALL_SPACED = re.compile(_SPACED)
 #: Readings of stretches up to this length are kept for the next time.
 REMEMBERED = 64
 BUCKETS = 1 << 20
@@ -107,9 +113,12 @@ class Restorer:
     def options(self, text: str, i: int, gaps: bool) -> list[tuple[str, float]]:
         """What the character at `i` may stand for, and the cost of each."""
         c = text[i]
-        found = [(c, 0.0 if c.isalpha() or (c in _GAPS) else KEEP_COST)]
+        plain = c.isalpha() or (c in _GAPS)
+        again = i > 0 and c == text[i - 1]
+        # a row of one sign is kept as a whole
+        found = [(c, 0.0 if plain else REPEAT_COST if again and not c.isalnum() else KEEP_COST)]
         found += [(x, LEET_COST) for x in LEET.get(c, "")]
-        if i and c == text[i - 1] and (c.isalpha() or c in LEET):
+        if again and (c.isalpha() or c in LEET):
             found.append(("", REPEAT_COST))
         if gaps and c in _GAPS:
             found.append(("", GAP_COST))
@@ -120,7 +129,7 @@ class Restorer:
 
         Steps point back to the step before, so that time grows with the length only.
         """
-        gaps = len(text) > 4 and all(c in _GAPS for c in text[1::2])
+        gaps = _ALL_SPACED.fullmatch(text) is not None
         # state: the last two symbols; value: cost, and the reading's last character with what came before
         beam: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i in range(len(text)):
@@ -137,6 +146,8 @@ class Restorer:
 
     def _replaced(self, m: re.Match) -> str:
         found = m[0].lower()
+        if not any(c.isalpha() for c in found):
+            return found  # rows of numbers
         if len(found) > REMEMBERED:
             return self.decode(found)
         if found not in self.known:
@@ -184,16 +195,22 @@ def _suspicious(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     gap = np.isin(points, [ord(c) for c in _GAPS])
     hit = np.zeros(len(points), bool)
     hit[:-1] |= leet[:-1] & letter[1:]
+    hit[1:] |= np.isin(points[1:], [ord(c) for c in ENDINGS]) & letter[:-1]
     hit[:-2] |= letter[:-2] & (s[:-2] == s[1:-1]) & (s[1:-1] == s[2:])
-    alone = gap | (s == 0)
-    run = either[1:-4] & alone[:-5] & gap[2:-3] & either[3:-2] & gap[4:-1] & either[5:] if len(points) > 5 else hit[:0]
-    hit[1 : 1 + len(run)] |= run
-    hit[:1] |= len(points) > 5 and bool(either[0] and gap[1] and either[2] and gap[3] and either[4])
+    # letters that stand alone, and of these the neighbours with one to three separators between them
+    within = letter | ((points >= 48) & (points <= 57))
+    single = np.flatnonzero(either & ~np.append(False, within[:-1]) & ~np.append(within[1:], False))
+    apart = np.cumsum(~gap)
+    near = (np.diff(single) > 1) & (np.diff(single) <= 4) & (apart[single[1:] - 1] == apart[single[:-1]]) if len(single) else np.zeros(0, bool)
+    hit[single[1:-1][near[:-1] & near[1:]]] = True
     places = np.flatnonzero(hit)
     if not len(places):
         return places, places
-    single = either & np.append(True, alone[:-1]) & np.append(alone[1:], True)  # letters that stand alone
-    blank = np.flatnonzero((s == 0) & ~(np.append(False, single[:-1]) & np.append(single[1:], False)))
+    bound = s == 0
+    for step in (1, 2, 3):
+        inside = single[:-1][near] + step
+        bound[inside[inside < single[1:][near]]] = False
+    blank = np.flatnonzero(bound)
     k = np.searchsorted(blank, places)
     begin = np.where(k > 0, blank[np.maximum(k - 1, 0)] + 1, 0)
     end = np.where(k < len(blank), blank[np.minimum(k, len(blank) - 1)], len(points) - 1)
