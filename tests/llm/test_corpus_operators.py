@@ -480,6 +480,46 @@ def test_decoding_contradicts_nobody():
         assert all(kept[page.parents[i]] for i in range(1, len(kept)) if kept[i])
 
 
+def test_decoding_equals_the_best_labels():
+    sources = ["<div>x<p>a</p><p>b<ul><li>c</li>d</ul></div>", "<p>a", "a<p>b</p>c", "<div><div>a<p>b</div>c</div><nav>d</nav>"]
+    rng = np.random.default_rng(10)
+    for source in sources * 50:
+        page = html_main.parse(source)
+        tied, p = html_main.sole(page), rng.random(len(page.tags))
+        best, found = -np.inf, None
+        for labels in itertools.product((True, False), repeat=len(p) - 1):
+            own = np.array([True, *labels])
+            up = own[page.parents[1:]]
+            if (own[1:] & ~up).any() or (tied[1:] & (own[1:] != up)).any():
+                continue
+            value = np.where(own, np.log(p), np.log(1 - p))[~tied].sum()
+            if value > best:
+                best, found = value, own
+        assert html_main.decode(page, p).tolist() == found.tolist()
+
+
+def test_unnamed_blocks_beside_the_main_text(spark):
+    ship(spark)
+    article = lambda i: PAGE.replace("words", text_of(i, 5 + i % 9)).replace("<p>Second", f"<p>{text_of(i + 90, 30)}, so. It goes on.<p>Second")
+    made = spark.createDataFrame([(i, f"u{i}", article(i)) for i in range(60)], "page_id long, url string, html string")
+    model = html_main.train(made)
+    said = "<p>I liked it, really. Thanks.</p><p>Me too.</p>"
+    turns = {
+        "unknown name": lambda h: h.replace("</article>", f"</article><div class=zq>{said}</div>"),
+        "camel case": lambda h: h.replace("</article>", f"<div class=readerComments>{said}</div></article>"),
+        "notice": lambda h: h.replace("<article>", '<div class="gdpr-overlay">We keep cookies, as you know.</div><article>'),
+        "loose text": lambda h: h.replace("<body>", "<body>Cookie notice"),
+        "loose text before the page": lambda h: "Cookie notice" + h,
+        "other attributes": lambda h: h.replace("<p>", '<p title="a comment" style="color:red">'),
+    }
+    for i in (61, 65, 70):
+        plain = html_main.main_text(article(i), model)
+        assert plain.startswith("Title & more First part") and plain.endswith("more " + text_of(i, 5 + i % 9) + " in it.")
+        for name, turn in turns.items():
+            assert turn(article(i)) != article(i) and html_main.main_text(turn(article(i)), model) == plain, name
+    assert html_main.main_text("no markup at all", model) == "no markup at all"
+
+
 def test_pipeline_stages(spark, tmp_path):
     good = [(i, text_of(i, 80), "en", "s", 0) for i in range(60)]
     bad = [(i, " ".join(w.upper() + "!!" for w in text_of(i, 80).split()), "en", "s", 0) for i in range(60, 90)]

@@ -1,13 +1,15 @@
 """Main text of web pages, by boosted trees over nodes and a decoding of the tree.
 
-Markup becomes a tree of block elements; inline elements only mark text. Features of
-a node are its depth, size and share of the page, density of text and links in its
+Markup becomes a tree of block elements, of which every own block of text is a leaf;
+inline elements only mark text. Features of a node are its depth, size and share of the page, density of text and links in its
 subtree, its tag, the tokens of its attributes and those of its ancestors, and how
 it compares with its siblings. Trees are trained on a bounded sample of the pages
 themselves: landmarks (`article`, `main`, telling class names; `nav`, `footer`,
 `form` and the like) label the nodes. Every page comes a second time with tags and
-attributes hidden, so that pages without landmarks are decided by structure, and a
-third time with some blocks turned into notices, comments and the like.
+attributes hidden, so that pages without landmarks are decided by structure, a
+third time with some blocks turned into notices, comments and the like, and further times
+with short prose beside the main text under no telling name, with parts of the main text
+inside further elements, and as main text alone.
 
 Decoding finds the likeliest labels for which a dropped node has no kept descendant
 and a kept node no dropped ancestor.
@@ -45,22 +47,40 @@ MAIN_WORDS = frozenset("article articlebody main content post entry story body t
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs"
     " header masthead footer sidebar aside related share social comment comments reply disqus cookie consent notice alert"
-    " popup modal newsletter subscribe signup login form search pagination pager widget toolbar copyright legal".split()
+    " popup modal newsletter subscribe signup login form search pagination pager widget toolbar copyright legal"
+    " cookies gdpr overlay privacy disclaimer responses replies discussion feedback reactions reviews trending recommended toc".split()
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*)|[^>=]+)*)(?:>|\Z)", re.S)
 _WORD = re.compile(r"[A-Za-z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Attributes that hold text, addresses, code or style, not names.
+_SPOKEN = re.compile(r"(?<![\w-])(?:style|title|href|src|srcset|alt|content|placeholder|cite|datetime|value|on[a-z]+)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*)", re.I)
 _CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
 
 
+TEXT = "#text"
+
+
 @dataclass
 class Page:
-    """Block elements in page order, and blocks of text with their owners."""
+    """Block elements and leaves of text in page order, and blocks of text with their leaves."""
 
     tags: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
     words: list[frozenset[str]] = field(default_factory=list)
-    blocks: list[tuple[int, str, int]] = field(default_factory=list)  # owner, text, characters in links
+    blocks: list[tuple[int, str, int]] = field(default_factory=list)  # leaf, text, characters in links
+
+    def add(self, tag: str, parent: int, words: frozenset[str] = frozenset()) -> int:
+        """A new last node; its number."""
+        self.tags.append(tag)
+        self.parents.append(parent)
+        self.words.append(words)
+        return len(self.tags) - 1
+
+    def add_text(self, parent: int, text: str, linked: int = 0) -> int:
+        self.blocks.append((self.add(TEXT, parent), text, linked))
+        return len(self.tags) - 1
 
 
 def _tokens(source: str) -> tuple[list[re.Match], dict[int, int]]:
@@ -119,7 +139,7 @@ def parse(source: str) -> Page:
         nonlocal pieces, linked
         text = " ".join("".join(pieces).split())
         if text:
-            page.blocks.append((stack[-1], text, min(linked, len(text))))
+            page.add_text(stack[-1], text, min(linked, len(text)))
         pieces, linked = [], 0
 
     def add(raw: str) -> None:
@@ -165,17 +185,21 @@ def parse(source: str) -> Page:
             if page.tags[stack[k]] in _CLOSES[tag]:
                 del stack[k:]
                 break
-        page.tags.append(tag)
-        page.parents.append(stack[-1])
-        page.words.append(frozenset(w.lower() for w in _WORD.findall(m[3])) if m[3].strip() else frozenset())
+        node = page.add(tag, stack[-1], names(m[3]) if m[3].strip() else frozenset())
         if tag not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append(len(page.tags) - 1)
+            stack.append(node)
     add(source[at:])
     end_block()
     return page
 
 
-FEATURES = 30
+def names(attributes: str) -> frozenset[str]:
+    """Words of class names and the like, in lower case, also those inside `camelCase` names."""
+    found = _WORD.findall(_SPOKEN.sub(" ", attributes))
+    return frozenset(w.lower() for word in found for w in (word, *_PART.findall(word)))
+
+
+FEATURES = 33
 
 
 def features(page: Page, hidden: bool = False) -> np.ndarray:
@@ -221,16 +245,18 @@ def features(page: Page, hidden: bool = False) -> np.ndarray:
         alike[i] = twins[parent[i], page.tags[i]] / siblings[parent[i]]
     own_main = np.array([0 if hidden else (t in MAIN_TAGS) + len(w & MAIN_WORDS) for t, w in zip(page.tags, page.words)])
     own_aside = np.array([0 if hidden else (t in ASIDE_TAGS) + len(w & ASIDE_WORDS) for t, w in zip(page.tags, page.words)])
-    kinds = [[t == "p", t in HEADINGS, t in ("li", "dd", "dt"), t in ("ul", "ol", "dl"), t in ("td", "th", "tr", "table"), t in ("html", "body", "#page")] for t in page.tags]
+    shown = [page.tags[max(p, 0)] if t == TEXT else t for t, p in zip(page.tags, page.parents)]  # a leaf is known by its element
+    kinds = [[t == "p", t in HEADINGS, t in ("li", "dd", "dt"), t in ("ul", "ol", "dl"), t in ("td", "th", "tr", "table"), t in ("html", "body", "#page")] for t in shown]
     kept = np.array(kinds, float)
     up = np.maximum(parent, 0)
+    over = up[up]  # the element that holds the element
     most = max(total, 1)
     safe = np.maximum(size, 1)
     return np.column_stack([
         depth, np.log1p(size), np.log1p(own), all_links / safe, all_marks / safe, np.log1p(nodes), size / nodes,
         paragraphs / nodes, first / most, size / most, size / np.maximum(size[up], 1), size[up] / most, all_links[up] / np.maximum(size[up], 1),
         size[up] / nodes[up], paragraphs[up], rank, siblings[up], alike, np.log1p(prior), np.log1p(following),
-        main, aside, own_main, own_aside, kept,
+        main, aside, own_main, own_aside, kept, np.array([t == TEXT for t in page.tags], float), size[over] / most, kept[over, 5],
     ])
 
 
@@ -271,12 +297,12 @@ def disturbed(page: Page, y: np.ndarray, random: np.random.Generator) -> tuple[P
     tags, names, labels = list(page.tags), list(page.words), y.copy()
     aside_tags, aside_words, main_words = sorted(ASIDE_TAGS), sorted(ASIDE_WORDS), sorted(MAIN_WORDS)
     holds = np.zeros(len(tags), bool)
-    holds[page.parents[1:]] = True
+    holds[[p for t, p in zip(page.tags[1:], page.parents[1:]) if t != TEXT]] = True
     named = random.random() < 0.5
     for i in range(1, len(tags)):
         if labels[i] and not labels[page.parents[i]]:
             labels[i] = False  # below a block that was turned
-        elif labels[i] and not holds[i] and random.random() < 0.2:
+        elif labels[i] and not holds[i] and tags[i] != TEXT and random.random() < 0.2:
             labels[i] = False
             if random.random() < 0.5:
                 tags[i] = aside_tags[random.integers(len(aside_tags))]
@@ -288,17 +314,112 @@ def disturbed(page: Page, y: np.ndarray, random: np.random.Generator) -> tuple[P
     return Page(tags, page.parents, names, page.blocks), labels
 
 
+def container(page: Page, y: np.ndarray) -> int:
+    """The innermost node that holds all main text and more than one part of it; 0 if that is the page."""
+    at = 0
+    while len(inner := [i for i in range(1, len(y)) if page.parents[i] == at and y[i]]) == 1 and page.tags[inner[0]] != TEXT:
+        if page.tags[at := inner[0]] in MAIN_TAGS:
+            break
+    return 0 if page.tags[at] in ("html", "body") else at
+
+
+def beside(page: Page, y: np.ndarray, random: np.random.Generator) -> tuple[Page, np.ndarray]:
+    """The page with one to three blocks of short prose before or behind its main text, under no telling name."""
+    main = container(page, y)
+    texts = [text for _, text, linked in page.blocks if linked == 0]
+    if not main or not texts:
+        return page, y
+    after = next((i for i in range(main + 1, len(y)) if page.parents[i] < main), len(y))
+    made, labels, number = Page(), [], {-1: -1}
+
+    def add(count: int) -> None:
+        for _ in range(count):
+            parent, form = number[page.parents[main]], random.random()
+            if form < 0.7:
+                parent = made.add(("div", "section", "p")[random.integers(3)], parent)
+            for _ in range(random.integers(1, 6) if form < 0.5 else 1):
+                text = texts[random.integers(len(texts))][: random.integers(10, 400)].strip() or "x"
+                made.add_text(made.add("p", parent) if form < 0.4 else parent, text)
+        labels.extend([False] * (len(made.tags) - len(labels)))
+
+    held = {owner: (text, linked) for owner, text, linked in page.blocks}
+    before = int(random.integers(0, 2))
+    for i in range(len(y) + 1):
+        if i == main:
+            add(before)
+        if i == after:
+            add(int(random.integers(1 - before, 3)))
+        if i < len(y):
+            up = number[page.parents[i]]
+            number[i] = made.add_text(up, *held[i]) if i in held else made.add(page.tags[i], up, page.words[i])
+            labels.append(bool(y[i]))
+    return made, np.array(labels)
+
+
+def nested(page: Page, y: np.ndarray, random: np.random.Generator) -> tuple[Page, np.ndarray]:
+    """The page with some neighbouring parts of its main text, or all, inside one more element without a name.
+
+    In a list, paragraphs become its items.
+    """
+    main = container(page, y)
+    parts = [i for i in range(1, len(y)) if page.parents[i] == main and y[i]]
+    if not main or not parts:
+        return page, y
+    first, last = sorted(random.integers(0, len(parts), 2)) if random.random() < 0.7 else (min(1, len(parts) - 1), len(parts) - 1)
+    made, labels, number, wrap = Page(), [], {-1: -1}, -1
+    held = {owner: (text, linked) for owner, text, linked in page.blocks}
+    for i in range(len(y)):
+        up = number[page.parents[i]]
+        if i == parts[first]:
+            wrap = made.add(("div", "section", "blockquote", "ul", "ol")[random.integers(5)], up)
+            labels.append(True)
+        if wrap >= 0 and page.parents[i] == main and parts[first] <= i <= parts[last]:
+            up = wrap
+        tag = "li" if page.tags[i] == "p" and up == wrap and made.tags[wrap] in ("ul", "ol") else page.tags[i]
+        number[i] = made.add_text(up, *held[i]) if i in held else made.add(tag, up, page.words[i])
+        labels.append(bool(y[i]))
+    return made, np.array(labels)
+
+
+def alone(page: Page, y: np.ndarray, random: np.random.Generator) -> tuple[Page, np.ndarray]:
+    """Nothing but the main text or the first parts of it."""
+    main = container(page, y)
+    parts = [i for i in range(1, len(y)) if page.parents[i] == main and y[i]]
+    until = parts[random.integers(len(parts))] if parts and random.random() < 0.7 else len(y)
+    made, number = Page(["#page"], [-1], [frozenset()]), {main: 0}
+    held = {owner: (text, linked) for owner, text, linked in page.blocks}
+    for i in range(main + 1, len(y)):
+        if page.parents[i] == main and i > until:
+            break
+        if page.parents[i] in number and y[i]:
+            up = number[page.parents[i]]
+            number[i] = made.add_text(up, *held[i]) if i in held else made.add(page.tags[i], up)
+    return made, np.ones(len(made.tags), bool)
+
+
+def sole(page: Page) -> np.ndarray:
+    """Leaves that are all that their element holds; they are decided with it."""
+    children = np.bincount(np.maximum(page.parents, 0), minlength=len(page.tags))
+    children[0] -= 1  # the page is no child
+    return np.array([tag == TEXT and children[up] == 1 for tag, up in zip(page.tags, page.parents)])
+
+
 def decode(page: Page, p: np.ndarray) -> np.ndarray:
-    """Likeliest labels without a kept node below a dropped one."""
+    """Likeliest labels without a kept node below a dropped one; the page itself is kept.
+
+    Sole leaves have the label of their element, whatever `p` says of them.
+    """
+    tied = sole(page)
     yes, no = np.log(np.clip(p, 1e-9, 1)), np.log(np.clip(1 - p, 1e-9, 1))
-    keep, drop = yes.copy(), no.copy()
+    yes[tied] = no[tied] = 0
+    keep, drop = yes, no
     for i in range(len(p) - 1, 0, -1):
         keep[page.parents[i]] += max(keep[i], drop[i])
         drop[page.parents[i]] += drop[i]
     kept = np.zeros(len(p), bool)
     kept[0] = True
     for i in range(1, len(p)):
-        kept[i] = kept[page.parents[i]] and keep[i] > drop[i]
+        kept[i] = kept[page.parents[i]] and (tied[i] or keep[i] > drop[i])
     return kept
 
 
@@ -334,10 +455,14 @@ def train(pages: DataFrame, how: Training = Training()) -> boosting.Trees:
             page = parse(source)
             y = landmarks(page)
             y = by_density(page) if y is None else y
-            other, turned = disturbed(page, y, np.random.default_rng(len(source)))
-            x = np.concatenate([features(page), features(page, hidden=True), features(other)])
-            rows.append(x.astype(np.float64).tobytes())
-            labels.append(np.concatenate([y, y, turned]).astype(np.uint8).tobytes())
+            random = np.random.default_rng(len(source))
+            wider, wide = beside(*(nested(page, y, random) if random.random() < 0.5 else (page, y)), random)
+            made = [(page, y), disturbed(wider, wide, random)]
+            hidden = [(page, y), (wider, wide), alone(page, y, random)]
+            decided = np.concatenate([~sole(p) for p, _ in made + hidden])
+            x = np.concatenate([features(p) for p, _ in made] + [features(p, hidden=True) for p, _ in hidden])
+            rows.append(x[decided].astype(np.float64).tobytes())
+            labels.append(np.concatenate([own for _, own in made + hidden])[decided].astype(np.uint8).tobytes())
         return {"x": rows, "y": labels}
 
     rows = sorted(map_texts(sampled(pages, how), "x binary, y binary", each, "html").collect())
