@@ -218,7 +218,7 @@ def with_following(docs: DataFrame, ranges: int) -> DataFrame:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "tie", "packed", "bucket", "first"])
 
     rows = keyed.mapInArrow(pack, "doc_id long, tie long, packed binary, bucket int, first boolean")
-    return rows.repartition(ranges, "bucket").sortWithinPartitions("bucket", "first", "doc_id", "tie")
+    return rows.repartitionById(ranges, F.col("bucket")).sortWithinPartitions("bucket", "first", "doc_id", "tie")
 
 
 def _order(row: tuple) -> tuple:
