@@ -258,6 +258,10 @@ def test_parts_of_a_block_decode_alone():
     assert (coder.decode(words, states, marks, len(ids), 2, 3) == ids[2 * size : 3 * size]).all()
 
 
+#: A filter that is full.
+EVERY_TERM = np.full(1, (1 << 64) - 1, np.uint64)
+
+
 def test_fingerprints_follow_the_order_of_ids(spark, docs):
     found = by_id(imatch.edit_digest(docs.where("doc_id is not null").dropDuplicates(["doc_id"])))
     for i, text in enumerate(ODD):
@@ -268,13 +272,39 @@ def test_fingerprints_follow_the_order_of_ids(spark, docs):
 
 
 def test_an_edited_text_stays_nearer_than_another():
-    printer = imatch.Printer(np.zeros(0, np.uint64))
+    printer = imatch.Printer(imatch.Lexicon(np.zeros(0, np.uint64), EVERY_TERM))
     pairs = [(text_of(k, 300), text_of(k + 500, 300)) for k in range(20)]
     for text, other in pairs:
         own, changed, far = printer.prints([text, imatch.edited(text, other), other])
         assert imatch.likeness(own, own) == 1 and imatch.likeness(own, changed) > imatch.likeness(own, far)
 
 
+def test_terms_of_one_text_are_left_out(spark):
+    ship(spark)
+    texts = [text_of(k, 30) + f" own{k}" for k in range(60)]
+    rows = [(i, texts[i % 60] if i < 120 else texts[0], "en", "s", 0) for i in range(180)]  # copies of all, many of one
+    band = imatch.lexicon(spark.createDataFrame([*rows, (999, None, "en", "s", 0)], DOCS).repartition(5, "doc_id"))
+    sets = [set(own.tolist()) for own in imatch.terms(texts)]
+    held = {t: sum(t in own for own in sets) for t in set().union(*sets)}
+    within = dict(zip(held, band.inside(np.array(list(held), np.uint64)).tolist()))
+    assert all(within[t] for t, n in held.items() if 1 < n <= 0.05 * 61)
+    assert not any(within[t] for t, n in held.items() if n > 0.05 * 61)
+    rare = [within[t] for t, n in held.items() if n == 1]
+    assert len(rare) >= 60 and sum(rare) <= 0.1 * len(rare)  # false positives of the filter
+    printer = imatch.Printer(band)
+    typo = texts[0].replace("own0", "zzzz9")
+    own, changed = printer.prints([texts[0], typo])
+    assert {k: v for k, v in own.items() if k[0] < imatch.ALL_TERMS} == {k: v for k, v in changed.items() if k[0] < imatch.ALL_TERMS}
+    nothing = imatch.lexicon(spark.createDataFrame([], DOCS))
+    assert len(nothing.common) == 0 and not nothing.repeated.any()
+
+
+def test_a_full_filter_leaves_no_rare_term_out():
+    own = imatch.terms([text_of(1, 50)])[0]
+    assert imatch.Lexicon(np.zeros(0, np.uint64), EVERY_TERM).inside(own).all()
+    assert not imatch.Lexicon(np.zeros(0, np.uint64), np.zeros(64, np.uint64)).inside(own).any()
+
+
 def test_copies_make_no_term_common(spark):
     ship(spark)
     texts = [text_of(k, 60) for k in range(40)]
@@ -282,13 +312,13 @@ def test_copies_make_no_term_common(spark):
     made = spark.createDataFrame(rows, DOCS).repartition(4, "doc_id")
     sets = [set(own.tolist()) for own in imatch.terms(texts)]
     held = {t: sum(t in own for own in sets) for t in set().union(*sets)}
-    assert sorted(t for t, n in held.items() if n > 0.05 * 40) == imatch.common_terms(made, imatch.Band()).tolist()
+    assert sorted(t for t, n in held.items() if n > 0.05 * 40) == imatch.lexicon(made).common.tolist()
     found = by_id(imatch.edit_digest(made))
     assert all(found[i].fingerprint for i in range(60)) and len({found[i].fingerprint for i in range(40)}) == 40
     assert all(found[i].near_edited > found[i].near_next for i in range(39))
     few = by_id(imatch.edit_digest(made.where("doc_id < 10")))  # every term is above the share
     assert len({few[i].fingerprint for i in range(10)} - {""}) == 10 and all(few[i].near_edited > few[i].near_next for i in range(10))
-    printer = imatch.Printer(imatch.terms([texts[0]])[0])  # no term inside the band
+    printer = imatch.Printer(imatch.Lexicon(imatch.terms([texts[0]])[0], EVERY_TERM))  # no term inside the band
     own, changed, far = printer.prints([texts[0], imatch.edited(texts[0], texts[1]), texts[2]])
     assert imatch.likeness(own, changed) > imatch.likeness(own, far)
 

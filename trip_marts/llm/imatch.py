@@ -9,11 +9,14 @@ and an edit leaves the signatures of the subsets that it doesn't touch.
 
 The common end of the band is decided exactly over distinct texts, so that copies of a
 text don't make its terms common: terms in more than `share` of the distinct texts are at
-most (mean distinct terms of a text) / `share` many, which bounds what is broadcast. The
-rare end is the frequency of one text, so no term is left out for being rare and no
-table of all terms is needed. A text with less than half of its terms inside the band
-also has signatures of all its terms, on levels of their own, so that only blank
-texts have none and its edits stay comparable.
+most (mean distinct terms of a text) / `share` many, which bounds what is broadcast.
+
+At the rare end, terms of a single distinct text, such as typos and numbers, are left out. Terms
+of several texts are told from those by a filter of at most `MAX_BITS` bits, so no table of
+all terms is needed; a false positive keeps a rare term, for every text alike, and beyond some
+sixteen million terms ever more rare ones stay in. A text with less than half of its terms
+inside the band also has signatures of all its terms, on levels of their own, so that only
+blank texts have none and its edits stay comparable.
 """
 
 from __future__ import annotations
@@ -28,20 +31,45 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trip_marts.llm.shared import map_texts, pieces
+from trip_marts.llm.shared import drop_saved, map_texts, pieces, saved
 from trip_marts.llm.textarrays import bounds, mix, words
 
 SUBSETS = 32
+#: Bits of the filter of repeated terms for each of them, and the most it has: 32 MB.
+BITS_A_TERM = 16
+MAX_BITS = 1 << 28
+LEAST_BITS = 1 << 12
 _U = np.uint64
 
 
 @dataclass(frozen=True)
 class Band:
-    """Terms in more than `share` of the distinct texts are left out."""
+    """Terms in more than `share` of the distinct texts, or in one only, are left out."""
 
     share: float = 0.05
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Terms inside the band: `common`, sorted, are above it, those not in `repeated` below.
+
+    `repeated` is a filter in words of 64 bits, a power of two many.
+    """
+
+    common: np.ndarray
+    repeated: np.ndarray
+
+    def inside(self, own: np.ndarray) -> np.ndarray:
+        """Which of the terms the band holds."""
+        found = np.ones(len(own), bool)
+        for place in filter_places(own, 64 * len(self.repeated)):
+            found &= (self.repeated[place >> _U(6)] >> (place & _U(63))) & _U(1) == 1
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, own), len(self.common) - 1)
+            found &= self.common[at] != own
+        return found
+
+
 def terms(texts: list[str]) -> list[np.ndarray]:
     """Sorted distinct word hashes of every text."""
     owner, hashes = words(texts)
@@ -49,28 +77,72 @@ def terms(texts: list[str]) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def common_terms(docs: DataFrame, band: Band) -> np.ndarray:
-    """Hashes of the terms above the band, sorted.
+def filter_places(own: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a filter that each term falls on."""
+    drawn = mix(own + _U(0x2545F4914F6CDD1D))
+    return (drawn >> _U(32)) & _U(bits - 1), drawn & _U(bits - 1)
 
-    Frequencies are counted over all distinct texts, known by their hashes; null counts
-    as empty. Counts in which only copies within one piece are taken together bound
-    them from above and give the candidates. Then every row says as bits which candidates
-    it holds, and each text counts once. The number of distinct terms in a mean text
-    divided by the share, times the mean number of copies, bounds the candidates.
+
+def filter_of(repeated: DataFrame) -> np.ndarray:
+    """The filter of the terms in column `term`.
+
+    Spark gathers its bits; what comes to the driver is bounded by `MAX_BITS` / 64 words.
+    """
+    n = repeated.count()
+    bits = min(MAX_BITS, max(LEAST_BITS, 1 << (BITS_A_TERM * max(n, 1) - 1).bit_length()))
+
+    def places(batches):
+        for batch in batches:
+            at = np.concatenate(filter_places(batch.column(0).to_numpy().view(_U), bits))
+            one = np.left_shift(_U(1), at & _U(63)).view(np.int64)
+            yield pa.record_batch([pa.array((at >> _U(6)).astype(np.int64)), pa.array(one)], names=["word", "bits"])
+
+    placed = repeated.select("term").mapInArrow(places, "word long, bits long")
+    found = placed.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(bits // 64, _U)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(_U)
+    return out
+
+
+def lexicon(docs: DataFrame, band: Band = Band()) -> Lexicon:
+    """What decides whether a term is inside the band, from all rows; null counts as empty.
+
+    One pass counts the terms, with the least and the greatest hash of the texts that hold each:
+    where they differ, a term is in several distinct texts, however many copies those have.
     """
     hashed = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     limit = band.share * hashed.select("h").distinct().count()
+    ends = np.iinfo(np.int64)
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        every, n = np.unique(np.concatenate(terms(list(dict.fromkeys(texts)))), return_counts=True)
-        return {"term": every.view(np.int64), "n": n}
-
-    counts = map_texts(docs.select("text"), "term long, n long", each).groupBy("term").agg(F.sum("n").alias("n"))
+        once = dict(zip(texts, batch.column(1).to_pylist()))
+        own = terms(list(once))
+        every, at, n = np.unique(np.concatenate(own), return_index=True, return_counts=True)
+        h = np.repeat(np.array(list(once.values()), np.int64), [len(o) for o in own])[at]
+        several = n > 1
+        return {"term": every.view(np.int64), "n": n, "lo": np.where(several, ends.min, h), "hi": np.where(several, ends.max, h)}
+
+    counts = map_texts(hashed, "term long, n long, lo long, hi long", each).groupBy("term")
+    counts = counts.agg(F.sum("n").alias("n"), (F.min("lo") < F.max("hi")).alias("several"))
+    kept = saved(counts.where((F.col("n") > limit) | F.col("several")), "terms")
+    made = Lexicon(_common(hashed, kept, limit), filter_of(kept.where("several")))
+    drop_saved(kept)
+    return made
+
+
+def _common(hashed: DataFrame, counts: DataFrame, limit: float) -> np.ndarray:
+    """Hashes of the terms in more than `limit` distinct texts, sorted.
+
+    Counts in which only copies within one piece are taken together bound frequencies
+    from above and give the candidates. Then every row says as bits which candidates
+    it holds, and each text counts once. The number of distinct terms in a mean text
+    divided by the share, times the mean number of copies, bounds the candidates.
+    """
     found = counts.where(F.col("n") > limit).select("term").collect()
     candidates = np.sort(np.array([r.term for r in found], np.int64).view(_U))
     if not len(candidates):
         return candidates
-    held = docs.sparkSession.sparkContext.broadcast(candidates)
+    held = hashed.sparkSession.sparkContext.broadcast(candidates)
 
     def marks(batch: pa.RecordBatch, texts: list[str]) -> dict:
         rows: dict[int, bytes] = {}
@@ -133,18 +205,17 @@ ALL_TERMS = 0x40
 
 
 class Printer:
-    """Fingerprints of texts against the terms above the band."""
+    """Fingerprints of texts by the terms of a lexicon."""
 
-    def __init__(self, common: np.ndarray) -> None:
-        self.common = common
+    def __init__(self, lexicon: Lexicon) -> None:
+        self.lexicon = lexicon
 
     def prints(self, texts: list[str]) -> list[dict[tuple[int, int], int]]:
         made = []
         for own in terms(texts):
-            at = np.searchsorted(self.common, own)
-            known = self.common[np.minimum(at, max(len(self.common) - 1, 0))] == own if len(self.common) else np.zeros(len(own), bool)
-            found = fingerprint(own[~known])
-            if 2 * known.sum() > len(own):
+            inside = self.lexicon.inside(own)
+            found = fingerprint(own[inside])
+            if 2 * inside.sum() < len(own):
                 found |= {(lvl | ALL_TERMS, k): s for (lvl, k), s in fingerprint(own).items()}
             made.append(found)
         return made
@@ -156,7 +227,7 @@ def fingerprints(docs: DataFrame, band: Band = Band()) -> DataFrame:
     Null or blank texts, and no others, have an empty fingerprint; equal texts have
     equal ones; rows that repeat are done each; other columns are ignored.
     """
-    held = docs.sparkSession.sparkContext.broadcast(common_terms(docs, band))
+    held = docs.sparkSession.sparkContext.broadcast(lexicon(docs, band))
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
         return {"doc_id": batch.column(0), "fingerprint": [as_text(p) for p in Printer(held.value).prints(texts)]}
@@ -231,7 +302,7 @@ def edit_digest(docs: DataFrame, band: Band = Band()) -> DataFrame:
     The edited text takes the start of the next document; see `with_following` for
     the order. After the last document comes the first.
     """
-    held = docs.sparkSession.sparkContext.broadcast(common_terms(docs, band))
+    held = docs.sparkSession.sparkContext.broadcast(lexicon(docs, band))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
