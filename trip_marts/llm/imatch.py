@@ -145,10 +145,13 @@ def _common(hashed: DataFrame, counts: DataFrame, limit: float) -> np.ndarray:
     held = hashed.sparkSession.sparkContext.broadcast(candidates)
 
     def marks(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        rows: dict[int, bytes] = {}
-        for h, text in dict(zip(batch.column(1).to_pylist(), texts)).items():
-            rows[h] = np.packbits(np.isin(held.value, terms([text])[0], assume_unique=True)).tobytes()
-        return {"h": list(rows), "bits": list(rows.values())}
+        once = dict(zip(batch.column(1).to_pylist(), texts))
+        bits = []
+        for own in terms(list(once.values())):
+            at = np.minimum(np.searchsorted(own, held.value), max(len(own) - 1, 0))
+            found = own[at] == held.value if len(own) else np.zeros(len(held.value), bool)
+            bits.append(np.packbits(found).tobytes())
+        return {"h": list(once), "bits": bits}
 
     def added(batches):
         sums = np.zeros(len(held.value), np.int64)
