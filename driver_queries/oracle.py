@@ -256,6 +256,14 @@ def sql(query: str, **replaced: str) -> str:
     return f"WITH {', '.join(f'{name} AS ({text})' for name, text in parts.items())} {query}"
 
 
+def _by_trips(mean: str, trips: str) -> str:
+    """Mean of means by trips, of the rows that have one."""
+    return (
+        f"round(sum({mean} * {trips}) / "
+        f"CAST(sum(CASE WHEN {mean} IS NOT NULL THEN {trips} END) AS DOUBLE), 6)"
+    )
+
+
 def amounts_as_double(relation: str, names: str) -> str:
     """All columns of a relation, the named decimals as doubles."""
     casts = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names.split())
@@ -522,6 +530,23 @@ ORACLE: dict[str, str] = {
         FROM hourly WHERE service_type = 'Yellow' GROUP BY 1""",
         hourly=_hourly("event_trips").replace("round(", "(").replace(", 6)", ")"),
     ),
+    "speed_by_hour_weighted": sql(
+        f"""
+        SELECT hour_of_day, {_by_trips("avg_speed_mph", "total_trips")} AS avg_speed_mph
+        FROM hourly WHERE service_type = 'Yellow' GROUP BY 1""",
+        hourly=_hourly("event_trips").replace("round(", "(").replace(", 6)", ")"),
+    ),
+    "top_routes_weighted": sql(f"""
+        SELECT pickup_zone, dropoff_zone, CAST(sum(trip_count) AS BIGINT) AS total_trips,
+               {_by_trips("avg_cost_per_trip", "trip_count")} AS avg_cost
+        FROM routes GROUP BY 1, 2 ORDER BY total_trips DESC, 1, 2 LIMIT 10"""),
+    "tip_by_payment_weighted": sql(
+        f"""
+        SELECT payment_type_describe, {_by_trips("avg_tip_percentage", "total_trips")} AS tip_pct,
+               CAST(sum(total_trips) AS BIGINT) AS trips
+        FROM tips WHERE payment_type_describe IS NOT NULL GROUP BY 1""",
+        tips=TIPS.replace("round(", "(").replace(", 6)", ")"),
+    ),
     "top_routes": sql("""
         SELECT pickup_zone, dropoff_zone, CAST(sum(trip_count) AS BIGINT) AS total_trips,
                round(avg(avg_cost_per_trip), 6) AS avg_cost

@@ -489,16 +489,34 @@ def speed_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(serving.speed_by_hour(hourly, YELLOW.label), ("avg_speed_mph",))
 
 
+@query("speed_by_hour_weighted")
+def speed_by_hour_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = marts.hourly_operation(event_trips(spark, sf_dir))
+    return shown(serving.speed_by_hour(hourly, YELLOW.label, weighted=True), ("avg_speed_mph",))
+
+
 @query("top_routes")
 def top_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(serving.top_routes(marts.od_routes(fact(spark, sf_dir))), ("avg_cost",))
 
 
+@query("top_routes_weighted")
+def top_routes_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routes = marts.od_routes(fact(spark, sf_dir))
+    return shown(serving.top_routes(routes, weighted=True), ("avg_cost",))
+
+
 @query("tip_by_payment")
 def tip_by_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(serving.tip_by_payment(marts.tipping(fact(spark, sf_dir))), ("tip_pct",))
 
 
+@query("tip_by_payment_weighted")
+def tip_by_payment_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tips = marts.tipping(fact(spark, sf_dir))
+    return shown(serving.tip_by_payment(tips, weighted=True), ("tip_pct",))
+
+
 # Upsert and incremental load
 
 

@@ -286,6 +286,8 @@ def test_hourly_charts(spark):
     heatmap = serving.weekday_hour_heatmap(hourly, "Yellow")
     assert contents(heatmap) == [(0, 5, 5), (1, 5, 4)]
     assert contents(serving.speed_by_hour(hourly, "Yellow")) == [(5, 20.0)]
+    by_trips = contents(serving.speed_by_hour(hourly, "Yellow", weighted=True))
+    assert by_trips == [(5, 140 / 6)]  # the row without a speed has no weight
 
 
 def test_route_and_tip_charts(spark):
@@ -295,9 +297,14 @@ def test_route_and_tip_charts(spark):
     )
     top = [tuple(r) for r in serving.top_routes(routes, rows=2).collect()]
     assert top == [("A", "A", 6, 4.0), ("A", "B", 6, 2.0)]
+    by_trips = [tuple(r) for r in serving.top_routes(routes, rows=2, weighted=True).collect()]
+    assert by_trips == [("A", "A", 6, 4.0), ("A", "B", 6, 8 / 6)]
     tips = spark.createDataFrame(
         [("Cash", None, 20), ("Credit card", 10.0, 15), ("Credit card", 20.0, 15), (None, 1.0, 9)],
         "payment_type_describe string, avg_tip_percentage double, total_trips bigint",
     )
     by_payment = [tuple(r) for r in serving.tip_by_payment(tips).collect()]
     assert by_payment == [("Credit card", 15.0, 30), ("Cash", None, 20)]
+    more = tips.union(spark.createDataFrame([("Credit card", 30.0, 30)], tips.schema))
+    by_trips = [tuple(r) for r in serving.tip_by_payment(more, weighted=True).collect()]
+    assert by_trips == [("Credit card", 22.5, 60), ("Cash", None, 20)]

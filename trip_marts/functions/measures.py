@@ -33,6 +33,15 @@ def percent_of_rows(condition: Column) -> Column:
     return F.count_if(condition) * F.lit(100.0) / F.count(F.lit(1))
 
 
+def weighted_mean(value: Column, weight: Column) -> Column:
+    """Mean of a floating value by whole weights; rows without a value have no weight.
+
+    Null where no row has a value or all weights are zero.
+    """
+    weights = F.sum(F.when(value.isNotNull(), weight)).cast("double")
+    return F.sum(value * weight) / F.nullif(weights, F.lit(0.0))
+
+
 def mean_where(condition: Column, value: Column) -> Column:
     """Mean of a floating value over the rows meeting the condition."""
     return F.avg(F.when(condition, value))

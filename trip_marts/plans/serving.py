@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trip_marts.functions.measures import exact_sum
+from trip_marts.functions.measures import exact_sum, weighted_mean
 
 TOTAL = "revenue_monthly_total_amount"
 TOP_ROWS = 10
@@ -31,6 +31,11 @@ def weighted_distance(monthly: DataFrame) -> DataFrame:
     )
 
 
+def _mean(name: str, trips: str, weighted: bool) -> Column:
+    """Mean of a mart's means, each counting once or as often as its row has trips."""
+    return weighted_mean(F.col(name), F.col(trips)) if weighted else F.avg(name)
+
+
 def revenue_trend(monthly: DataFrame) -> DataFrame:
     """Revenue by month and service; rows without either are left out."""
     return (
@@ -103,36 +108,42 @@ def weekday_hour_grid(hourly: DataFrame, service: str) -> DataFrame:
     )
 
 
-def speed_by_hour(hourly: DataFrame, service: str) -> DataFrame:
-    """Unweighted mean of the mean speeds by hour of one service."""
+def speed_by_hour(hourly: DataFrame, service: str, weighted: bool = False) -> DataFrame:
+    """Mean of the mean speeds by hour of one service; ``weighted`` by trips."""
     return (
         hourly.where(F.col("service_type") == service)
         .dropna(subset=["hour_of_day"])
         .groupBy("hour_of_day")
-        .agg(F.avg("avg_speed_mph").alias("avg_speed_mph"))
+        .agg(_mean("avg_speed_mph", "total_trips", weighted).alias("avg_speed_mph"))
     )
 
 
-def top_routes(routes: DataFrame, rows: int = TOP_ROWS) -> DataFrame:
-    """Routes of most trips over all months and services, equal ones by name."""
+def top_routes(routes: DataFrame, rows: int = TOP_ROWS, weighted: bool = False) -> DataFrame:
+    """Routes of most trips over all months and services, equal ones by name.
+
+    Their cost is the mean of the months' means, ``weighted`` by the trips of each.
+    """
     return (
         routes.groupBy("pickup_zone", "dropoff_zone")
         .agg(
             F.sum("trip_count").alias("total_trips"),
-            F.avg("avg_cost_per_trip").alias("avg_cost"),
+            _mean("avg_cost_per_trip", "trip_count", weighted).alias("avg_cost"),
         )
         .orderBy(F.desc("total_trips"), "pickup_zone", "dropoff_zone")
         .limit(rows)
     )
 
 
-def tip_by_payment(tips: DataFrame) -> DataFrame:
-    """Mean tip percentage and trips by payment label, most trips first."""
+def tip_by_payment(tips: DataFrame, weighted: bool = False) -> DataFrame:
+    """Mean tip percentage and trips by payment label, most trips first.
+
+    The percentage is the mean of the groups' means, ``weighted`` by the trips of each.
+    """
     return (
         tips.where(F.col("payment_type_describe").isNotNull())
         .groupBy("payment_type_describe")
         .agg(
-            F.avg("avg_tip_percentage").alias("tip_pct"),
+            _mean("avg_tip_percentage", "total_trips", weighted).alias("tip_pct"),
             F.sum("total_trips").alias("trips"),
         )
         .orderBy(F.desc("trips"), "payment_type_describe")
