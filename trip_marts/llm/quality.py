@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trip_marts.llm.grams import bucket_of, char_grams
 from trip_marts.llm.shared import map_texts
-from trip_marts.llm.textarrays import words
+from trip_marts.llm.textarrays import bounds, words
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
@@ -116,11 +116,12 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), modulu
 
     def each(batch: pa.RecordBatch, texts: list[str]) -> dict:
         owner, found = features(texts)
+        keys, counts = np.unique(owner * BUCKETS + found, return_counts=True)
+        edges, own = bounds(keys // BUCKETS, len(texts)), (keys % BUCKETS).astype(np.int32)
         buckets, shares = [], []
-        for i in range(len(texts)):
-            own, counts = np.unique(found[owner == i], return_counts=True)
-            buckets.append(own.astype(np.int32).tobytes())
-            shares.append((counts / max(counts.sum(), 1)).astype(np.float32).tobytes())
+        for a, b in zip(edges[:-1], edges[1:]):
+            buckets.append(own[a:b].tobytes())
+            shares.append((counts[a:b] / max(counts[a:b].sum(), 1)).astype(np.float32).tobytes())
         return {"y": batch.column(2), "buckets": buckets, "shares": shares}
 
     sample = labelled_sample(docs, labels, "quality", modulus, held_out, how.sample)
