@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import warnings
 import zlib
 
 import numpy as np
@@ -299,6 +300,26 @@ def test_terms_of_one_text_are_left_out(spark):
     assert len(nothing.common) == 0 and not nothing.repeated.any()
 
 
+def test_fingerprints_equal_a_plain_loop():
+    def mixed(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % (1 << 64)
+        return x ^ x >> 31
+
+    for n in (0, 1, 2, 7, 40, 300):
+        own = imatch.terms([text_of(n, n)])[0]
+        expected = {}
+        first = max(0, len(own).bit_length() - 2)
+        for level in (first, first + 1, first + 2) if len(own) else ():
+            for k in range(imatch.SUBSETS):
+                salt = mixed((k + 1) * 0x5851F42D4C957F2D % (1 << 64))
+                kept = [t for t in own.tolist() if level == 0 or mixed((t + salt) % (1 << 64)) < (1 << 64) - 1 >> level]
+                if kept:
+                    data = b"".join(t.to_bytes(8, "little") for t in sorted(kept))
+                    expected[level, k] = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+        assert imatch.fingerprint(own) == expected
+
+
 def test_a_full_filter_leaves_no_rare_term_out():
     own = imatch.terms([text_of(1, 50)])[0]
     assert imatch.Lexicon(np.zeros(0, np.uint64), EVERY_TERM).inside(own).all()
@@ -342,6 +363,27 @@ def test_classifiers_learn_and_read_no_held_out_label(spark):
         assert {r.score for r in op.score(made, empty).collect()} == {0.5}
 
 
+def test_scores_equal_a_plain_loop():
+    texts = ["", "  ", "Ab ab the the the é", "x", text_of(3, 12), "日本 日本 no"]
+    weights = np.random.default_rng(2).normal(0, 1, quality.BUCKETS)
+    model = quality.Model(weights, 0.25)
+
+    def word_hash(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return textarrays.byte_hashes(data, np.array([0]), np.array([len(data)]))
+
+    for text, found in zip(texts, model.scores(texts)):
+        own = ["".join(c.lower() if c.isascii() else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+        places = [quality.bucket_of(word_hash(w), quality.BUCKETS)[0] for w in own]
+        places += [quality.bucket_of(quality._TWICE, quality.BUCKETS)[0] for a, b in zip(own, own[1:]) if a == b]
+        for n in quality.GRAMS:
+            for gram in (text[i : i + n] for i in range(len(text) - n + 1)):
+                sums = textarrays.prefix_sums(np.array([ord(c) for c in gram], np.uint32))
+                places.append(quality.bucket_of(textarrays.slice_hashes(sums, np.array([0]), np.array([n])), quality.BUCKETS, n)[0])
+        mean = sum(weights[p] for p in places) / max(len(places), 1)
+        assert abs(found - 1 / (1 + np.exp(-(mean + 0.25)))) < 1e-9
+
+
 def test_scores_of_odd_rows(spark, docs):
     labels = spark.createDataFrame([(6, 1, 0), (9, 0, 1), (5, 1, 1)], "doc_id long, quality int, toxic int")
     for op in (quality, toxicity):
@@ -435,6 +477,29 @@ def test_mixing_with_a_document_of_a_third_of_the_tokens(spark):
     assert not plan.met and abs(plan.residual - np.abs(expected - [0.9, 0.1]).max()) < 1e-6
 
 
+def test_mixing_equals_plain_least_squares(spark):
+    ship(spark)
+    rng = np.random.default_rng(12)
+    for k, low in ((2, 0.3), (3, 0.2)):
+        soft = np.maximum(rng.dirichlet(np.ones(k) * 0.4, 200), low)
+        soft /= soft.sum(axis=1, keepdims=True)
+        tokens = rng.integers(1, 400, 200)
+        names = [f"d{i}" for i in range(k)]
+        far = np.array([1 - 0.02 * (k - 1)] + [0.02] * (k - 1))  # no rates reach these
+        rows = spark.createDataFrame([(int(t), p.tolist()) for t, p in zip(tokens, soft)], "n_tokens long, posteriors array<double>")
+        parts = soft * (tokens / tokens.sum())[:, None]
+        for targets in (far, parts.sum(axis=0)[::-1] / parts.sum()):
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                plan = mixing.fit(rows.repartition(3), mixing.Classifier(names, None, None), mixing.Mixing(targets=dict(zip(names, targets))))
+            rate = np.ones(200)
+            largest = np.linalg.norm(soft.T @ parts, 2)
+            for _ in range(100_000):
+                rate = np.maximum(0, rate - soft @ (rate @ parts - targets) / largest)
+            best, own = np.linalg.norm(rate @ parts - targets), np.linalg.norm(plan.rates(tokens, soft) @ parts - targets)
+            assert own <= best * 1.005 + 1e-3 * targets.max(), (k, best, own)
+
+
 def test_mixing_keeps_a_rare_domain(spark):
     ship(spark)
     rng = np.random.default_rng(5)

@@ -168,6 +168,9 @@ def stepped(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
 
 #: Step lengths that one pass tries.
 STEPS = np.append([4.0, 2.0, 1.5], 0.5 ** np.arange(7))
+#: Parts of the largest curvature that are added for directions between the scaled gradient and the plain one.
+DAMPING = (0.0, 0.01, 0.1)
+FEW_STEPS = STEPS[::3]
 
 
 def token_counts(texts: list[str]) -> np.ndarray:
@@ -202,8 +205,8 @@ def fit(rows: DataFrame, classifier: Classifier, how: Mixing) -> Plan:
 
     Domains without a target keep their share; targets of absent domains are left
     out and the rest is scaled to the present number of tokens. Targets that cannot
-    be met within the tolerance are met as nearly as possible, and a warning and the
-    plan give the residual.
+    be met within the tolerance are met as nearly as possible by squared differences, and a
+    warning and the plan give the residual.
     """
     k = len(classifier.domains)
     total = rows.agg(F.sum("n_tokens")).collect()[0][0]
@@ -238,13 +241,15 @@ def fit(rows: DataFrame, classifier: Classifier, how: Mixing) -> Plan:
         if np.abs(apart).max() <= how.tolerance * wanted.max() / 10:
             break
         curvature = found[k:].reshape(k, k) + 1e-9 * np.eye(k)
-        # the gradient of a rate is its probabilities times this; a step of 1 would be exact without the projection
-        tried = STEPS[:, None] * np.linalg.solve(curvature, apart)
+        # the gradient of a rate is its probabilities times `apart`; along the scaled direction a step
+        # of 1 would be exact without the projection, along the plain one a short step always gains
+        most = np.linalg.norm(curvature, 2)
+        scaled = [np.linalg.solve(curvature + share * most * np.eye(k), apart) for share in DAMPING]
+        tried = np.concatenate([STEPS[:, None] * scaled[0], *(FEW_STEPS[:, None] * d for d in (*scaled[1:], apart / most))])
         sums = added(tried)
-        left = (sums[:, :k] - wanted) @ np.linalg.inv(curvature)
-        values = (left * (sums[:, :k] - wanted)).sum(axis=1)
+        values = ((sums[:, :k] - wanted) ** 2).sum(axis=1)
         best = int(np.argmin(values))
-        if values[best] >= apart @ np.linalg.solve(curvature, apart) * (1 - 1e-6):
+        if values[best] >= apart @ apart * (1 - 1e-6):
             break  # no step brings the totals nearer
         steps.append(tried[best])
         found = sums[best]
