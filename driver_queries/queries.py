@@ -638,6 +638,15 @@ def tipping_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.table(lake.table("dm_tipping")), ("avg_tip_percentage",))
 
 
+def one_file(rows: DataFrame) -> DataFrame:
+    """The rows in one partition, to be written as one file.
+
+    A shuffle into one writer: the joins that make the rows stay spread over tasks,
+    where a coalesce would join and sort all of them in a single one.
+    """
+    return rows.repartition(1)
+
+
 @query("stream_arrivals")
 def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of even and odd years arrive, then a month again; at last all are delivered again.
@@ -648,10 +657,10 @@ def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, root = scratch_lake(spark).raw("yellow"), scratch_folder(spark)
     folder, trips = f"{root}/arrivals", raw_trips(spark, sf_dir, YELLOW)
     for odd in (0, 1):
-        trips.where(F.year(YELLOW.pickup) % 2 == odd).coalesce(1).write.parquet(f"{folder}/first/{odd}")
+        one_file(trips.where(F.year(YELLOW.pickup) % 2 == odd)).write.parquet(f"{folder}/first/{odd}")
     follow_arrivals(spark, folder, "yellow", name, f"{root}/checkpoint").awaitTermination()
     again = trips.where(in_month(F.col(YELLOW.pickup), RELOADED_MONTH)).withColumn("cbd_congestion_fee", F.lit(0.75))
-    again.withColumn("fare_amount", money(F.col("fare_amount") + 10)).coalesce(1).write.parquet(f"{folder}/second")
+    one_file(again.withColumn("fare_amount", money(F.col("fare_amount") + 10))).write.parquet(f"{folder}/second")
     for checkpoint in ("checkpoint", "new_checkpoint"):
         follow_arrivals(spark, folder, "yellow", name, f"{root}/{checkpoint}", 100).awaitTermination()
     load = F.when(F.col("source_file").contains("/second/"), "second load").otherwise("first load")
