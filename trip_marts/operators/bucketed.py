@@ -83,6 +83,16 @@ def unmatched_stored(stored: DataFrame, batch: DataFrame, layout: Buckets) -> Da
     return stored.join(keys.hint("merge"), layout.columns, "left_anti")
 
 
+def writers(spark: SparkSession, layout: Buckets) -> int:
+    """Tasks that write the batch: a multiple of the buckets, at least the shuffle's partitions.
+
+    A row's task is its hash modulo this number, so every task holds rows of one bucket
+    only and a large batch is spread over many tasks, each bucket getting several files.
+    """
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return layout.number * max(1, -(-shuffled // layout.number))
+
+
 def upsert_bucketed(batch: DataFrame, table: str, layout: Buckets = Buckets()) -> None:
     """Upsert a batch, reading and rewriting only the months it has rows in.
 
@@ -101,8 +111,8 @@ def upsert_bucketed(batch: DataFrame, table: str, layout: Buckets = Buckets()) -
     batch = align_to(batch, target)
     affected = target.where(same_partitions(batch, partition_columns(spark, table)))
     kept = unmatched_stored(affected, batch, layout)
-    rows = align_to(kept.unionByName(batch.repartition(layout.number, *layout.columns)), target)
-    # no rebalance here: every task holds one bucket and writes one file of it a month
+    rows = align_to(kept.unionByName(batch.repartition(writers(spark, layout), *layout.columns)), target)
+    # no rebalance here: every task holds rows of one bucket only and writes one file of it a month
     with dynamic_overwrite(spark):
         rows.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
