@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +91,20 @@ def upsert_filtered(
     The batch's keys enter the filters before its rows enter the table, so that a
     run that stops in between leaves filters that know too much, which does no harm:
     run again, it rewrites months that it could have appended to.
+
+    Every step below reads the batch; it is computed once, joins and all, and
+    kept on the executors' disks for them.
     """
+    kept = batch.localCheckpoint(eager=True, storageLevel=StorageLevel.DISK_ONLY)
+    try:
+        return _upsert_filtered(kept, table, how, partition_by)
+    finally:
+        kept.unpersist()
+
+
+def _upsert_filtered(
+    batch: DataFrame, table: str, how: KeyFilter, partition_by: Sequence[str] | None
+) -> list[str | None]:
     spark = batch.sparkSession
     if not table_exists(spark, table):
         upsert_table(batch.limit(0), table, how.keys, how.month, partition_by)
