@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,13 +92,10 @@ def upsert_filtered(
     run again, it rewrites months that it could have appended to.
 
     Every step below reads the batch; it is computed once, joins and all, and
-    kept on the executors' disks for them.
+    checkpointed to the folder that all executors share, so the loss of one
+    does not lose it.
     """
-    kept = batch.localCheckpoint(eager=True, storageLevel=StorageLevel.DISK_ONLY)
-    try:
-        return _upsert_filtered(kept, table, how, partition_by)
-    finally:
-        kept.unpersist()
+    return _upsert_filtered(batch.checkpoint(eager=True), table, how, partition_by)
 
 
 def _upsert_filtered(
