@@ -637,7 +637,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tipping_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tipping rolled up from monthly states, after one month of the fact was corrected."""
     lake = scratch_lake(spark)
-    name, trips = lake.table("fact_trips"), with_pickup_month(fact(spark, sf_dir))
+    name, trips = lake.table("fact_trips"), fact_once(spark, sf_dir)
     corrected = in_months(F.col(PICKUP_MONTH), [CORRECTED_MONTH])
     wrong = F.when(corrected, F.col("tip_amount") + 1).otherwise(F.col("tip_amount"))
     refresh_table(trips.withColumn("tip_amount", money(wrong)), name, FACT_PARTITIONS)
