@@ -16,6 +16,7 @@ from trip_marts.schemas import find_field
 # How the catalog writes a null partition value.
 HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
@@ -245,9 +246,22 @@ def add_missing_columns(df: DataFrame, table: str) -> None:
 
 @contextmanager
 def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    with _setting(spark, OVERWRITE_MODE, "dynamic"):
+        yield
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each write when it ends, not when the driver next collects garbage."""
+    with _setting(spark, SHUFFLE_CLEANUP, "true"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
