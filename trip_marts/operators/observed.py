@@ -97,4 +97,6 @@ class WrittenChecks:
             else:
                 failures = seen[f"m{i}"]
             rows.append((check.name, check.model, check.severity, failures))
-        return spark.createDataFrame(rows, REPORT_SCHEMA)
+        fields = [f.split() for f in REPORT_SCHEMA.split(", ")]
+        reported = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields, strict=True)]) for row in rows]
+        return spark.range(1).select(F.inline(F.array(*reported)))
